@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchlake.llm import exact_dedup, line_dedup, secret_scan, sharding
+from branchlake.llm import exact_dedup, line_dedup, q_text, secret_scan, sharding
 from branchlake.llm.common import fresh, text_or_empty
 
 
@@ -51,7 +51,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_secret_scan, op4_line_dedup, op7_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_secret_scan, op4_line_dedup, op7_exact_dedup, q_text.op10_toxicity)}
 
 _KEY = r"translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
