@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchlake.llm import toxicity
+from branchlake.llm import packing, toxicity
 
-#: remainder of crc32(doc_id as text) that is held out of every fit
-HELD_OUT = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
 THRESHOLD = 0.7
 
 
+def held_out() -> Column:
+    """The remainder of crc32(doc_id as text) that is kept out of every fit; a null doc_id is kept out too."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(True))
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(~HELD_OUT)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(~held_out())
     return toxicity.fit(docs, labels)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs))
-    return scored.select("doc_id", F.coalesce(HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 4096)

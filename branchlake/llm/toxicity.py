@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -263,6 +262,3 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{kinds}, score double")
 
-
-def held_out(doc_id: int) -> bool:
-    return zlib.crc32(str(doc_id).encode()) % 3 == 1
