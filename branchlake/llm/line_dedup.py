@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from branchlake.llm.common import WHITE, ascii_lower, text_or_empty
+from branchlake.llm.common import WHITE, ascii_lower, cut, text_or_empty
 
 
 def split_lines(text: Column) -> Column:
@@ -41,7 +41,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .where(F.length("key") >= min_chars)
         .select(F.unhex(F.md5("key")).alias("h"), "id", "version", "pos")
     )
-    ranged = lines.repartitionByRange("h", "id", "version")
+    # the range partitioner samples its input and both branches below read it: split and hash the texts once
+    ranged = cut(lines, "lines").repartitionByRange("h", "id", "version")
     first = F.row_number().over(Window.partitionBy("h", "id", "version").orderBy("pos")) == 1
     counts = ranged.withColumn("first", first).where("first").groupBy("h").agg(F.count(F.lit(1)).alias("n_docs"))
     common = counts.where(F.col("n_docs") >= min_docs).select("h")
