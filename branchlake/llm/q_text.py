@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchlake.llm import packing, toxicity
+from branchlake.llm import packing, pii, secret_scan, toxicity
 
 THRESHOLD = 0.7
 
@@ -31,3 +31,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 4096)
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    base, every = F.filter("pii", lambda s: s["base"]), F.col("pii")
+    return found.select(
+        "doc_id",
+        *[secret_scan.count_of(base, k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
+        secret_scan.joined(every).alias("spans"),
+    )
