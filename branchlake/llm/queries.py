@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchlake.llm import exact_dedup, line_dedup, q_text, secret_scan, sharding
+from branchlake.llm import embedding_dedup, exact_dedup, line_dedup, q_text, secret_scan, sharding
 from branchlake.llm.common import fresh, text_or_empty
 
 
@@ -39,6 +39,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return out.withColumnRenamed("id", "vec_id")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs, min_chars=1, min_docs=10))
@@ -51,7 +56,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_secret_scan, op4_line_dedup, q_text.op5_pii, op7_exact_dedup, q_text.op9_packing, q_text.op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_secret_scan, op3_embedding_dedup, op4_line_dedup, q_text.op5_pii, op7_exact_dedup, q_text.op9_packing, q_text.op10_toxicity)}
 
 _KEY = r"translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
