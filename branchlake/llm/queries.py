@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchlake.llm import embedding_dedup, exact_dedup, line_dedup, q_text, secret_scan, sharding
+from branchlake.llm import embedding_dedup, exact_dedup, line_dedup, ngram_join, q_text, secret_scan, sharding
 from branchlake.llm.common import fresh, text_or_empty
 
 
@@ -50,13 +50,18 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(text_or_empty(), 256).alias("kept_sha256"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join.ngram_components(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = exact_dedup.exact_dedup(docs, keep="largest")
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_secret_scan, op3_embedding_dedup, op4_line_dedup, q_text.op5_pii, op7_exact_dedup, q_text.op9_packing, q_text.op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_secret_scan, op3_embedding_dedup, op4_line_dedup, q_text.op5_pii, op6_ngram_join, op7_exact_dedup, q_text.op9_packing, q_text.op10_toxicity)}
 
 _KEY = r"translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
