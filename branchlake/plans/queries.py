@@ -1,4 +1,6 @@
-"""Registered queries of the reference's operators, each with its SQL."""
+"""All registered queries of the reference's operators, each with its SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from branchlake.plans import q_load
+from branchlake.plans.tables import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "q_load"]
