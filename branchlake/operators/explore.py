@@ -57,12 +57,12 @@ def summarize_totals(summary: DataFrame) -> DataFrame:
 
 def run_summary(log: DataFrame, limit: int = 50) -> DataFrame:
     """One row per run, newest first: wall clock, rows, units, outcomes, drift, errors, tables."""
-    ms = lambda c: F.unix_millis(c.cast("timestamp"))
+    us = lambda c: F.unix_micros(c.cast("timestamp"))
     ok = F.col("status") == "SUCCESS"
     return (
         log.groupBy("pipeline_run_id")
         .agg(
-            F.min("start_time").alias("started"), F.max("end_time").alias("ended"), (ms(F.max("end_time")) - ms(F.min("start_time"))).alias("wall_ms"),
+            F.min("start_time").alias("started"), F.max("end_time").alias("ended"), F.floor((us(F.max("end_time")) - us(F.min("start_time"))) / 1000).alias("wall_ms"),
             F.sum("row_count").alias("rows"), F.count(F.lit(1)).alias("units"), F.count_if(ok).alias("ok"), F.count_if(~ok).alias("failed"),
             F.count("schema_discrepancy").alias("drift"), F.count("error_details").alias("errors"), F.count_distinct("table_name").alias("tables"),
         )

@@ -312,7 +312,7 @@ def a8(spark, d):
     return E.summarize_totals(E.summarize(_events(spark, d), "branch_id", "at", "hour", [0, 1, 2]))
 
 
-@query("a9_run_summary", f"WITH {LOG} SELECT pipeline_run_id, CAST(epoch_ms(max(end_time)) - epoch_ms(min(start_time)) AS BIGINT) AS wall_ms, CAST(sum(row_count) AS BIGINT) AS rows, count(*) AS units, count(*) FILTER (status = 'SUCCESS') AS ok, count(*) FILTER (status <> 'SUCCESS') AS failed, count(schema_discrepancy) AS drift, count(error_details) AS errors, count(DISTINCT table_name) AS tables FROM log GROUP BY 1")
+@query("a9_run_summary", f"WITH {LOG} SELECT pipeline_run_id, CAST(floor((epoch_us(max(end_time)) - epoch_us(min(start_time))) / 1000) AS BIGINT) AS wall_ms, CAST(sum(row_count) AS BIGINT) AS rows, count(*) AS units, count(*) FILTER (status = 'SUCCESS') AS ok, count(*) FILTER (status <> 'SUCCESS') AS failed, count(schema_discrepancy) AS drift, count(error_details) AS errors, count(DISTINCT table_name) AS tables FROM log GROUP BY 1")
 def a9(spark, d):
 
     return E.run_summary(run_log(spark, d), 1000).drop("started", "ended")
