@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchlake.llm import packing, pii, secret_scan, toxicity
+from branchlake.llm import gumbel_pieces, packing, pii, secret_scan, toxicity
 
 THRESHOLD = 0.7
 
@@ -43,3 +43,12 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
         secret_scan.joined(every).alias("spans"),
     )
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two different segmentations of each text: a row per document and sample."""
+    import public_tokenizers
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    out = gumbel_pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), k=2, seed=11, digest=True)
+    return out.select(F.col("key").alias("doc_id"), F.posexplode("samples").alias("sample", "s")).select("doc_id", "sample", "s.*")

@@ -61,7 +61,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_secret_scan, op3_embedding_dedup, op4_line_dedup, q_text.op5_pii, op6_ngram_join, op7_exact_dedup, q_text.op9_packing, q_text.op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_secret_scan, op3_embedding_dedup, op4_line_dedup, q_text.op5_pii, op6_ngram_join, op7_exact_dedup, q_text.op8_sentencepiece, q_text.op9_packing, q_text.op10_toxicity)}
 
 _KEY = r"translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
