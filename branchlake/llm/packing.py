@@ -32,7 +32,7 @@ class WordIds:
     The tokenizer drops white space and no token crosses it, so a text's ids are its chunks' ids one after another.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 1_200_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -45,7 +45,7 @@ class WordIds:
         if len(known) > self.limit:
             known.clear()
         split = [t.replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\f", " ").replace("\v", " ").split(" ") for t in texts]
-        new = list({w for words in split for w in words if w not in known})
+        new = list(set().union(*split).difference(known))
         for i in range(0, len(new), 10_000):
             part = new[i : i + 10_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
@@ -53,11 +53,21 @@ class WordIds:
         return [b"".join([known[w] for w in words]) + END for words in split]
 
 
+_ENCODERS: dict[str, WordIds] = {}
+
+
+def encoder(path: str) -> WordIds:
+    """One per Python worker, so that the tasks a worker runs share what it has learnt."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordIds(path)
+    return _ENCODERS[path]
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, plus (part, rank): the rank among pieces of this length in the partition ``part``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, seen = WordIds(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        encode, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for b in batches:
             for low in range(0, b.num_rows, 256):
                 ids = b.column(0).slice(low, 256)
