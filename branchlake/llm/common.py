@@ -27,10 +27,14 @@ def fresh(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Write to the shared folder and read back: ends the lineage, fixes the rows against retries, survives lost executors."""
+    """Write to the shared folder and read back: ends the lineage, fixes the rows against retries, survives lost executors.
+
+    The driver's garbage is collected then, because Spark removes the shuffle files of a finished job only once its plan is collected.
+    """
     spark = df.sparkSession
     path = fresh(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -40,3 +44,8 @@ def text_or_empty(name: str = "text") -> Column:
 
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
+
+
+def hash_share(h: Column, wanted: int, total: int) -> Column:
+    """Whether a 64-bit hash is in the share that takes about ``wanted`` of ``total`` rows; all of them if there are no more."""
+    return F.lit(True) if total <= wanted else F.pmod(F.shiftright(h, 8), F.lit(1 << 40)) < int((1 << 40) * wanted / total)

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from branchlake.llm.common import hash_share
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("out", *KINDS)
 BUCKETS = 1 << 12
@@ -229,9 +231,12 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def training_table(docs: DataFrame, sample: int, text_col: str = "text") -> list[tuple[list[list[int]], list[int]]]:
-    """The small labelled table: segments of ``sample`` marked texts by hash, labelled with the base patterns, so the field learns their shapes."""
+    """The small labelled table: segments of about ``sample`` marked texts, chosen by hash and labelled with the base patterns, so the field learns their shapes.
+
+    A count fixes the share of hashes that is taken, so no task gathers or sorts texts.
+    """
     marked = docs.select(F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@+]"))
-    chosen = marked.withColumn("o", F.xxhash64("text", F.lit("crf"))).orderBy("o").limit(sample)
+    chosen = marked.where(hash_share(F.xxhash64("text", F.lit("crf")), sample, marked.count())).dropDuplicates(["text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Featurizer()
@@ -248,7 +253,7 @@ def training_table(docs: DataFrame, sample: int, text_col: str = "text") -> list
 
 
 def fit(docs: DataFrame, sample: int = 2_000, text_col: str = "text") -> Field:
-    """``sample`` bounds the texts behind the labelled table. Without any marked text the field adds nothing."""
+    """About ``sample`` distinct texts are behind the labelled table; copies of one share its fate. Without any marked text the field adds nothing."""
     return train(training_table(docs, sample, text_col))
 
 

@@ -1,8 +1,8 @@
 """Toxicity scores from gradient-boosted trees over dense text features, with isotonic calibration.
 
-Fitting uses a bounded sample of labelled rows (``sample``, by hash of the identifier), in three disjoint folds: one learns the lexicon of words and
-word stems by log-odds, one grows the trees, one fits the calibration. So the densities that the trees see are those of unseen texts. Scoring
-reads every whole text once, in Arrow batches; only the text is an input.
+Fitting uses a bounded sample of labelled rows (``sample``, by hash of the identifier). Each half of it learns a lexicon of words and word stems by log-odds,
+and the other half's features are computed with that one, so the densities that the trees see are those of unseen texts; scoring uses the lexicon of both. Trees grow on
+four fifths of the rows, the rest fit the calibration. Scoring reads every whole text once, in Arrow batches; only the text is an input.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from branchlake.llm.common import cut, hash_share
+
 # Second-person pronouns of the four languages.
 SECOND_PERSON = frozenset("you your yours yourself tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch euer ti tú tus usted ustedes vosotros".split())
 # Signs that stand for letters in disguised words.
@@ -40,16 +42,13 @@ def terms_of(text: str) -> set[str]:
 
 
 def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    toxic, clean = Counter(), Counter()
+    """(text, toxic, half) to a row per term with its texts: clean and toxic ones of either half."""
+    counts = [Counter() for _ in range(4)]
     for b in batches:
-        for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            (toxic if label else clean).update(terms_of(text or ""))
-    terms = list(toxic)  # a term that no toxic text has is of no use here, its clean count is
-    rest = [t for t in clean if t not in toxic]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(terms + rest, pa.string()), pa.array([toxic[t] for t in terms] + [0] * len(rest), pa.int64()), pa.array([clean[t] for t in terms] + [clean[t] for t in rest], pa.int64())],
-        names=["term", "n_toxic", "n_clean"],
-    )
+        for text, label, half in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            counts[2 * half + bool(label)].update(terms_of(text or ""))
+    terms = list(set().union(*counts))
+    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in counts)], names=["term", "c0", "t0", "c1", "t1"])
 
 
 class Lexicon:
@@ -219,29 +218,36 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, terms: int = 5_000, least: int = 5, odds: float = 2.5) -> Model:
     """``docs`` (doc_id, text), ``labels`` (doc_id, toxic); rows without a label or text are left out.
 
-    ``sample`` bounds the labelled rows used, ``terms`` the lexicon. Without any labelled row of a class the model scores the base rate.
+    About ``sample`` labelled rows are used, chosen by hash, and at most ``terms`` lexicon entries. Without any labelled row of a class the model scores the base rate.
     """
-    spark = docs.sparkSession
     rows = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxicity"))
-    chosen = rows.withColumn("o", order).orderBy("o", "doc_id").limit(sample).withColumn("fold", F.pmod(F.shiftright("o", 7), F.lit(10)))
+    chosen = rows.withColumn("o", order).where(hash_share(F.col("o"), sample, rows.count())).withColumn("fold", F.pmod(F.shiftright("o", 50), F.lit(10)))
     known = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "toxic", "fold")), "doc_id").where(F.col("text").isNotNull())
-    learn = known.where("fold < 5").select("text", F.col("toxic").cast("int").alias("toxic"))
-    counts = learn.mapInArrow(term_counts, "term string, n_toxic long, n_clean long").groupBy("term").agg(F.sum("n_toxic").alias("a"), F.sum("n_clean").alias("b"))
-    size = {bool(r["toxic"]): r["n"] for r in chosen.where("fold < 5").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ratio = F.log((F.col("a") + 0.5) / (size.get(True, 0) + 1)) - F.log((F.col("b") + 0.5) / (size.get(False, 0) + 1))
-    top = counts.where(F.col("a") >= least).withColumn("w", ratio).where(F.col("w") >= odds).orderBy(F.desc(F.col("w") * F.sqrt("a")), "term").limit(terms)
-    lexicon = Lexicon({r["term"]: float(r["w"]) for r in top.collect()})
+    known = cut(known.groupBy("doc_id", "toxic", "fold").agg(F.min("text").alias("text")), "labelled")  # one text for each identifier
+    rows_ = known.select("text", (F.col("toxic") > 0).alias("toxic"), (F.col("fold") % 2).cast("int").alias("half"), F.floor(F.col("fold") / 2).cast("int").alias("fifth"))
+    counts = rows_.mapInArrow(term_counts, "term string, c0 long, t0 long, c1 long, t1 long").groupBy("term").agg(*[F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1")])
+    counts = cut(counts.where(F.col("t0") + F.col("t1") >= min(least, 3)), "terms")
+    size = {(r["half"], r["toxic"]): r["n"] for r in rows_.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def lexicon_of(halves: tuple[int, ...]) -> Lexicon:
+        a, b = (sum((F.col(f"{k}{h}") for h in halves), F.lit(0)) for k in ("t", "c"))
+        na, nb = (sum(size.get((h, k), 0) for h in halves) for k in (True, False))
+        weight = F.log((a + 0.5) / (na + 1)) - F.log((b + 0.5) / (nb + 1))
+        enough = least if len(halves) > 1 else max(2, least // 2)
+        top = counts.where(a >= enough).select("term", weight.alias("w"), a.alias("a")).where(F.col("w") >= odds).orderBy(F.desc(F.col("w") * F.sqrt("a")), "term").limit(terms)
+        return Lexicon({r["term"]: float(r["w"]) for r in top.collect()})
+
+    lexicon, other = lexicon_of((0, 1)), {0: lexicon_of((1,)), 1: lexicon_of((0,))}
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [features(t, lexicon) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1), b.column(2)], names=["x", "toxic", "fold"])
+            x = [features(t, other[h]) for t, h in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1), b.column(3)], names=["x", "toxic", "fifth"])
 
-    got = known.where("fold >= 5").select("text", F.col("toxic").cast("int").alias("toxic"), F.col("fold").cast("int").alias("fold"))
-    got = got.mapInArrow(vectors, "x array<double>, toxic int, fold int").orderBy("x", "toxic").collect()
-    x, y = np.array([r["x"] for r in got]).reshape(-1, FEATURES), np.array([float(r["toxic"] > 0) for r in got])
-    calib = np.array([r["fold"] >= 8 for r in got], dtype=bool)
+    got = rows_.mapInArrow(vectors, "x array<double>, toxic boolean, fifth int").orderBy("x", "toxic").collect()
+    x, y = np.array([r["x"] for r in got]).reshape(-1, FEATURES), np.array([float(r["toxic"]) for r in got])
+    calib = np.array([r["fifth"] == 4 for r in got], dtype=bool)
     if not len(y) or y.min() == y.max() or calib.all() or not calib.any():
         rate = float(y.mean()) if len(y) else 0.0
         return Model(lexicon, Trees(np.zeros((FEATURES, 1)), 0.0, [], 3), np.array([0.0]), np.array([rate]))
