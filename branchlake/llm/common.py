@@ -35,7 +35,21 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     path = fresh(spark, name)
     df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete written tables (results of ``cut``) that nothing will read again."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small_side(df: DataFrame, limit: int = 500_000) -> DataFrame:
+    """A narrow written table marked for broadcast if it has at most ``limit`` rows; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.count() <= limit else df
 
 
 def text_or_empty(name: str = "text") -> Column:
