@@ -71,7 +71,8 @@ def allowance(n: Column, percent: int) -> Column:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, with_head: bool) -> DataFrame:
-    """(id, fp, n) and the head on request: fp is a 128-bit digest of the set, null for an empty one; a set that only equal ones can match has no head."""
+    """(id, fp, n) and the head on request: fp is a 128-bit digest of the set, null for an empty one; a set that only equal ones can match has no head. One that may lack no token itself
+    can still lie in a larger partner, so the partner's greatest size decides."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -82,7 +83,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
                 n = len(s)
                 fps.append(xxhash.xxh3_128_digest(s.tobytes()) if n else None)
                 ns.append(n)
-                heads.append(s[: front(n * 100 // percent, percent) + spare(n, percent)] if with_head and spare(n, percent) else s[:0])
+                most = n * 100 // percent
+                heads.append(s[: front(most, percent) + spare(n, percent)] if with_head and most > n else s[:0])
             out = [b.column(0), pa.array(fps, pa.binary()), pa.array(ns, pa.int64())]
             more = [pa.array(heads, pa.list_(pa.int64()))] if with_head else []
             yield pa.RecordBatch.from_arrays(out + more, names=["id", "fp", "n", "head"][: 3 + with_head])

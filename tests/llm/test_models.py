@@ -96,6 +96,20 @@ def test_ngram_join_against_brute_force(spark, width, percent, frequent):
     assert got == brute_components(rows, width, percent)
 
 
+@pytest.mark.parametrize(("width", "percent", "words"), [(5, 80, 8), (3, 90, 11)])
+def test_ngram_join_of_the_smallest_sets_inside_one_more(spark, width, percent, words):
+    """A set that may lack no token links with a partner that has one more, also as the only bridge between two of them."""
+    text = lambda tag, a, b: " ".join(f"{tag}{x}" for x in range(a, b))
+    rows = [(0, text("a", 0, words)), (1, text("a", 0, words + 1)), (2, text("b", 0, words + 1)), (3, text("b", 1, words + 1)), (4, text("c", 0, words)), (5, text("c", 0, words + 2))]
+    rows += [(6, text("d", 0, words + 1)), (7, text("d", 0, words)), (8, text("d", 1, words + 1)), (9, text("e", 0, words - 1)), (10, text("e", 0, words))]
+    want = brute_components(rows, width, percent)
+    assert [want[i][1] for i in range(11)] == [0, 0, 2, 2, 4, 5, 6, 6, 6, 9, 10]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for frequent in (1, 64):
+        got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_components(df, width=width, percent=percent, frequent=frequent).collect()}
+        assert got == want
+
+
 def test_ngram_join_of_odd_and_empty_tables(odd, none):
     out = ngram_join.ngram_components(odd).collect()
     assert len(out) == odd.count() and {r["component_id"] for r in out if r["id"] in (1, 2)} == {1}
