@@ -13,13 +13,13 @@ _PREFIX = {"year": 4, "month": 7, "day": 10}
 TIME_COLUMNS = ("recorded_at", "check_time", "updated_at", "Recorded_updated_at", "start_time", "insert_at")
 
 
-def sample_rows(df: DataFrame, branch: int | None = None, date_column: str | None = None, day: str | None = None, limit: int = 50) -> DataFrame:
-    """Rows of a branch and day, at most 1000; a null date counts as empty text."""
+def sample_rows(df: DataFrame, branch: int | None = None, date_column: str | None = None, day: str | None = None, limit: int | None = 50) -> DataFrame:
+    """Rows of a branch and day, at most 1000, or all of them with no limit; a null date counts as empty text."""
     if branch is not None:
         df = df.where(F.col("branch_id") == branch)
     if date_column and day is not None:
         df = df.where(F.coalesce(F.substring(F.col(date_column).cast("string"), 1, 10), F.lit("")) == day)
-    return df.limit(min(limit, MOST))
+    return df if limit is None else df.limit(min(limit, MOST))
 
 
 def bucket(df: DataFrame, column: str, grain: str) -> Column:
@@ -71,11 +71,12 @@ def run_summary(log: DataFrame, limit: int = 50) -> DataFrame:
     )
 
 
-def run_detail(log: DataFrame, control: DataFrame, limit: int = MOST) -> DataFrame:
-    """Units of a run with their stored marks: failures first, then table, then branch. Branch ids may be text on one side and numbers on the other."""
+def run_detail(log: DataFrame, control: DataFrame, limit: int | None = None) -> DataFrame:
+    """All units of a run, or the first ``limit``, with their stored marks: failures first, then table, then branch. Branch ids may be text on one side and numbers on the other."""
     marks = control.select(F.col("table_name").alias("__t"), F.col("branch_id").cast("string").alias("__b"), F.col("status").alias("control_status"), "last_cdc_value", "last_date_value")
     j = log.join(marks, (F.col("table_name") == F.col("__t")) & (F.col("branch_id").cast("string") == F.col("__b")), "left").drop("__t", "__b")
-    return j.orderBy(F.col("status") == "SUCCESS", F.coalesce("table_name", F.lit("")), F.col("branch_id").asc_nulls_last(), "pipeline_run_id").limit(min(limit, MOST))
+    j = j.orderBy(F.col("status") == "SUCCESS", F.coalesce("table_name", F.lit("")), F.col("branch_id").asc_nulls_last(), "pipeline_run_id")
+    return j if limit is None else j.limit(limit)
 
 
 def recent_run_log(log: DataFrame, runs: int) -> DataFrame:

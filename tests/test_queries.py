@@ -46,6 +46,18 @@ def test_runs(spark, sf, name):
     assert queries.QUERIES[name](spark, sf).count() > 0
 
 
+@pytest.mark.parametrize("name", ["j8_run_detail", "p15_sample_rows"])
+def test_more_than_a_thousand_rows(spark, tmp_path, name):
+    """1500 log rows of one run, and as many events of one branch and day."""
+    c = duckdb.connect()
+    c.execute(f"COPY (SELECT 7 * i + 2 AS event_id, TIMESTAMP '2024-01-10 00:00:00' + i * INTERVAL 1 SECOND AS ts, 3 AS user_id, CASE WHEN i % 9 = 0 THEN 'error' ELSE 'view' END AS event_type, 0.5 AS value, NULL::VARCHAR AS props FROM range(1, 1651) t(i)) TO '{tmp_path}/events.parquet'")
+    c.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet')")
+    df = queries.QUERIES[name](spark, str(tmp_path))
+    found = c.execute(queries.ORACLE_SQL[name])
+    names, want = [d[0] for d in found.description], found.fetchall()
+    assert len(want) >= 1500 and rows_of(df.columns, df.collect()) == rows_of(names, want)
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
