@@ -211,14 +211,16 @@ def u1(spark, d):
     return part(new, "new").unionAll(part(updated, "updated"))
 
 
-def _branches(spark, d):
+def _branches(spark, d, n=3):
+    """The first ``n`` of seven branches, dealt over three schemas."""
     o = table(spark, d, "orders")
     pick = lambda b: o.where(F.col("o_orderkey") % 7 == b)
-    return [
-        pick(0).select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "o_orderstatus"),
-        pick(1).select("o_orderkey", F.col("o_totalprice").cast("decimal(18,4)").alias("price"), F.lit("x").alias("extra_flag")),
-        pick(2).select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.col("o_totalprice").cast("decimal(18,0)").alias("price"), "o_orderstatus"),
+    kinds = [
+        lambda p: p.select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "o_orderstatus"),
+        lambda p: p.select("o_orderkey", F.col("o_totalprice").cast("decimal(18,4)").alias("price"), F.lit("x").alias("extra_flag")),
+        lambda p: p.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.col("o_totalprice").cast("decimal(18,0)").alias("price"), "o_orderstatus"),
     ]
+    return [kinds[b % 3](pick(b)) for b in range(n)]
 
 
 _UNIFIED = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(CASE WHEN o_orderkey % 7 = 2 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,0)) ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DECIMAL(22,4)) AS price,
@@ -264,7 +266,7 @@ def t3(spark, d):
 
 @query("t4_schema_drift")
 def t4(spark, d):
-    parts = _branches(spark, d)
+    parts = _branches(spark, d, 7)
     rows = M.rebuild([b.select(F.lit(str(i)).alias("branch")) for i, b in enumerate(parts)]).groupBy("branch").agg(F.count(F.lit(1)).alias("rows"))
     return S.drift_report(table(spark, d, "orders"), {str(i): b.schema for i, b in enumerate(parts)}).join(rows, "branch", "left")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from branchlake.functions.schema import normalize_columns
@@ -231,10 +231,11 @@ def snapshot_pair(commits: DataFrame, day: str) -> tuple[int, int]:
 
 
 def retain(commits: DataFrame, days: int, min_keep: int, now: str) -> DataFrame:
-    """Snapshots with ``keep``: younger than ``days``, or the current and the newest ``min_keep``. A commit log is small: one row per snapshot."""
-    rank = F.row_number().over(Window.orderBy(F.desc("committed_at"), F.desc("commit_id")))
+    """Snapshots with ``keep``: younger than ``days``, or the current and the newest ``min_keep``, which are a top-k and no window over the whole log."""
+    newest = commits.orderBy(F.desc("committed_at"), F.desc("commit_id")).limit(max(1, min_keep)).select(F.col("commit_id").alias("__c")).distinct()
     floor = F.lit(now).cast("timestamp_ntz") - F.expr(f"interval {int(days)} days")
-    return commits.withColumn("keep", (rank <= max(1, min_keep)) | (F.col("committed_at") >= floor))
+    marked = commits.join(newest, F.col("commit_id") == F.col("__c"), "left")
+    return marked.withColumn("keep", F.col("__c").isNotNull() | (F.col("committed_at") >= floor)).drop("__c")
 
 
 def squash(commits: DataFrame, before: DataFrame) -> DataFrame:

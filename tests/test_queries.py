@@ -58,6 +58,26 @@ def test_more_than_a_thousand_rows(spark, tmp_path, name):
     assert len(want) >= 1500 and rows_of(df.columns, df.collect()) == rows_of(names, want)
 
 
+def test_drift_of_all_branches(spark, sf):
+    got = queries.QUERIES["t4_schema_drift"](spark, sf).select("branch", "rows").distinct().collect()
+    assert sorted(r["branch"] for r in got) == [str(b) for b in range(7)]
+    assert sum(r["rows"] for r in got) == spark.read.parquet(f"{sf}/orders.parquet").count()
+
+
+def test_retention_without_a_global_window(spark):
+    from datetime import datetime
+
+    from branchlake.sources import lake
+
+    rows = [(i, datetime(2024, 1, 1 + i % 5)) for i in range(40)] + [(50, None)]
+    commits = spark.createDataFrame(rows, "commit_id bigint, committed_at timestamp_ntz")
+    for days, least in ((1, 3), (4, 0), (0, 60), (2, 10)):
+        out = lake.retain(commits, days, least, "2024-01-05 00:00:00")
+        newest = {i for i, _ in sorted(rows, key=lambda r: (r[1] or datetime.min, r[0]), reverse=True)[: max(1, least)]}
+        assert {r["commit_id"]: bool(r["keep"]) for r in out.collect()} == {i: i in newest or bool(at and (datetime(2024, 1, 5) - at).days <= days) for i, at in rows}
+        assert out.columns == ["commit_id", "committed_at", "keep"] and "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
