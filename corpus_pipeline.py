@@ -33,10 +33,15 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard of 0.8 or more) the smallest doc_id stays; texts without words all stay."""
-    found = ngram_join.ngram_components(docs, width=5, percent=80)
-    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
-    return _columns(docs.join(gone, docs["doc_id"].eqNullSafe(gone["id"]), "left_anti"))
+    """Of each group of near copies (five-word shingles, Jaccard of 0.8 or more) one row stays, of the smallest doc_id (null comes last); texts without words all stay.
+
+    Identifiers may repeat or be null, so rows are told apart by a key of their own, which is written to hold against retries.
+    """
+    keyed = cut(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
+    named = keyed.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row").alias("key"), "text")
+    found = ngram_join.ngram_components(named, id_col="key", width=5, percent=80)
+    gone = found.where(F.col("id") != F.col("component_id")).select("id.row")
+    return _columns(keyed.join(gone, "row", "left_anti"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

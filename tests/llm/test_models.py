@@ -300,3 +300,18 @@ def test_pipeline(spark, sf):
     packed = cp.STAGES[-1][1](spark, docs, sf).collect()
     assert {r["doc_id"] for r in packed} == set(near)
     check_packing(packed, 4096)
+
+
+@pytest.mark.skipif(not importlib.util.find_spec("corpus_pipeline"), reason="the pipeline is not here")
+def test_pipeline_near_duplicates_by_row(spark):
+    """Null and repeated doc_id: one row of each group stays, and nothing that only shares an id goes."""
+    import corpus_pipeline as cp
+
+    text = lambda tag, n=60: " ".join(f"{tag}{x}" for x in range(n))
+    rows = [(1, text("a")), (None, text("a") + " more"), (None, text("b")), (5, text("c")), (5, text("d")), (2, text("d") + " more"), (None, text("e")), (None, text("e") + " more")]
+    rows += [(7, text("f")), (7, text("f")), (8, text("f")), (None, ""), (None, None), (9, " \n"), (9, " \n"), (10, text("g"))]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = cp.drop_near_duplicates(spark, df, "")
+    assert out.columns == cp.COLUMNS
+    got = Counter((r["doc_id"], (r["text"] or "").split(" ")[0].strip()) for r in out.collect())
+    assert got == {(1, "a0"): 1, (None, "b0"): 1, (5, "c0"): 1, (2, "d0"): 1, (None, "e0"): 1, (7, "f0"): 1, (None, ""): 2, (9, ""): 2, (10, "g0"): 1}
