@@ -2,14 +2,14 @@
 
 Documents are tokenised once and cut into pieces; the pieces' lengths make a histogram of at most ``capacity`` numbers, which is all that the
 solver sees. The linear program has a variable per configuration (a multiset of lengths that fits one sequence) and a covering
-constraint per length. Multiplicative weights price the lengths, a knapsack dynamic program over the prices finds the best configuration, and the fractional
-solution is rounded down; what rounding leaves is packed best-fit decreasing on the histogram, and so are the
-pieces too small for the program, into the room the configurations leave. Pieces then find their place from their rank among the pieces of
+constraint per length. Multiplicative weights price the lengths, a knapsack dynamic program over the prices finds the best configurations and a dual bound, and the fractional
+cover is rounded; what rounding leaves is packed best-fit decreasing on the histogram. Pieces then find their place from their rank among the pieces of
 their length, which is a count per written partition plus a running number.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -86,58 +86,67 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "doc_id
     return narrow.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, rank long")
 
 
-def best_config(price: np.ndarray, capacity: int) -> np.ndarray:
-    """The multiset of sizes (indices of ``price``, in grid units) of the highest total price that fits: unbounded knapsack, ties to the larger size."""
-    value, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    sizes = np.flatnonzero(price > 0)
-    for c in range(1, capacity + 1):
-        fit = sizes[: np.searchsorted(sizes, c, side="right")]
-        value[c], choice[c] = value[c - 1], 0
-        if len(fit):
-            total = price[fit] + value[c - fit]
-            k = len(total) - 1 - int(np.argmax(total[::-1]))
-            if total[k] > value[c]:
-                value[c], choice[c] = total[k], fit[k]
-    out, c = np.zeros(len(price), np.int64), capacity
-    while c > 0:
-        if choice[c]:
-            out[choice[c]] += 1
-            c -= choice[c]
+def knapsack(sizes: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack over all capacities: (best total price, index of the size to take last there, -1 for a unit of slack); ties to the larger size."""
+    value, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
+    fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
+    for c in range(int(sizes[0]), capacity + 1):
+        total = price[: fits[c]] + value[c - sizes[: fits[c]]]
+        k = len(total) - 1 - int(total[::-1].argmax())
+        if total[k] > value[c - 1]:
+            value[c], choice[c] = total[k], k
         else:
-            c -= 1
-    return out
+            value[c] = value[c - 1]
+    return value, choice
+
+
+def configurations(first: np.ndarray, sizes: np.ndarray, choice: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each index in ``first`` the best configuration that holds that size, as (number of the configuration, index of a size) pairs, one per piece."""
+    back = np.concatenate([[0], np.maximum.accumulate(np.where(choice >= 0, np.arange(capacity + 1), 0))[1:]])  # over slack, to where something is taken
+    who, at = np.arange(len(first)), back[capacity - sizes[first]]
+    owners, taken = [who], [first]
+    while True:
+        live = choice[at] >= 0
+        who, at = who[live], at[live]
+        if not len(who):
+            break
+        owners.append(who)
+        taken.append(choice[at])
+        at = back[at - sizes[choice[at]]]
+    return np.concatenate(owners), np.concatenate(taken)
 
 
-def solve_fractional(demand: np.ndarray, capacity: int, rounds: int, step: float = 0.25, learn: float = 0.5) -> list[tuple[np.ndarray, float]]:
-    """Multiplicative weights for: least number of sequences whose configurations cover ``demand``. Returns configurations with amounts.
+def fractional_covers(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 64, near: float = 0.02) -> Iterator[tuple[list[tuple[np.ndarray, np.ndarray, float]], float]]:
+    """Multiplicative weights for: the fewest sequences, in fractions, whose configurations cover ``demand``. Yields ([(indices, copies, amount)], a lower bound) after 4, 8, 16 ... rounds.
 
-    Each round prices the sizes, takes the best configuration for as much as ``step`` of its scarcest demand, and lowers the prices of what
-    it covered. Amounts are scaled so that the covered total is exact for every size that was overserved.
+    Demand stays as it is. A size's price is its share of a sequence times exp(-times covered so far). A round solves the knapsack at these prices; the price of all demand
+    over the best configuration's is a dual bound (weak duality). All best configurations through a size that come within ``near`` of the optimum enter together, in proportion
+    to that size's demand, each scaled down so that no size is covered more than once in a round. Divided by its scarcest cover, the sum covers everything.
     """
-    left = demand.astype(float).copy()
-    weight = np.arange(len(demand)) / capacity
-    out: dict[bytes, list] = {}
-    for _ in range(rounds):
-        live = left >= 1
-        if not live.any():
-            break
-        config = best_config(np.where(live, weight, 0.0), capacity)
-        used = config > 0
-        if not used.any():
-            break
-        share = (left[used] / config[used]).min()
-        amount = max(1.0, step * share) if share > 8 else np.floor(share)
-        if amount < 1:
-            # more copies in one sequence than are left: drop the excess
-            config = np.minimum(config, np.floor(left).astype(np.int64))
-            used, amount = config > 0, 1.0
-        left[used] -= amount * config[used]
-        covered = np.zeros(len(demand))
-        covered[used] = amount * config[used] / np.maximum(demand[used], 1)
-        weight = weight * np.exp(-learn * covered)
-        key = config.tobytes()
-        out.setdefault(key, [config, 0.0])[1] += amount
-    return [(c, x) for c, x in out.values()]
+    base, cover, bound, look = sizes / capacity, np.zeros(len(sizes)), 0.0, 4
+    held: dict[tuple, float] = {}
+    for n in range(1, rounds + 1):
+        times = cover / demand
+        price = base * np.exp(times.min() - times)
+        value, choice = knapsack(sizes, price, capacity)
+        bound = max(bound, float(price @ demand) / value[capacity])
+        through = price + value[capacity - sizes]
+        # the size that is furthest behind always takes part, else it could wait for ever
+        first = np.flatnonzero((through >= (1 - near) * value[capacity]) | (times <= times.min()))
+        owner, taken = configurations(first, sizes, choice, capacity)
+        order = np.lexsort((taken, owner))
+        cuts = np.searchsorted(owner[order], np.arange(len(first) + 1))
+        amount = demand[first] / np.bincount(owner[taken == first[owner]], minlength=len(first))
+        over = (np.bincount(taken, amount[owner], minlength=len(sizes)) / demand)[taken]
+        amount /= np.maximum.reduceat(over[order], cuts[:-1])
+        cover += np.bincount(taken, amount[owner], minlength=len(sizes))
+        for k, x in enumerate(amount):
+            key = tuple(taken[order[cuts[k] : cuts[k + 1]]].tolist())
+            held[key] = held.get(key, 0.0) + x
+        if n == look and cover.min() > 0 or n == rounds:
+            least = (cover / demand).min() or 1.0
+            yield sorted(((*np.unique(np.array(k), return_counts=True), x / least) for k, x in held.items()), key=lambda c: (-c[2], c[0].tolist())), bound
+        look *= 2 if n == look else 1
 
 
 @dataclass
@@ -150,6 +159,7 @@ class Plan:
     seq: np.ndarray
     at: np.ndarray
     sequences: int
+    bound: float = 0.0  # no packing takes fewer sequences
 
 
 class Rooms:
@@ -162,6 +172,9 @@ class Rooms:
         free = self.capacity - sum(n * k for n, k in content)
         self.groups.setdefault(free, []).append([content, times])
 
+    def count(self) -> int:
+        return sum(times for group in self.groups.values() for _, times in group)
+
     def best_fit(self, n: int, todo: int) -> None:
         """Place ``todo`` pieces of length ``n`` where the least room is left, groups of equal sequences together; open new ones for the rest."""
         while todo > 0:
@@ -185,38 +198,49 @@ class Rooms:
             todo -= use * copies
 
 
-def plan(histogram: dict[int, int], capacity: int, grid: int = 8, rounds: int = 1500, small: float = 1 / 16) -> Plan:
-    """``grid``: the program sees lengths rounded up to it. ``small``: pieces below this share of a sequence are left to best fit."""
-    left, rooms = dict(histogram), Rooms(capacity)
-    by_unit: dict[int, list[int]] = {}
-    demand = np.zeros(capacity // grid + 1, np.int64)
-    for n in sorted(histogram):
-        if n == capacity:
-            rooms.open([(n, 1)], left[n])
-            left[n] = 0
-        elif n >= small * capacity:
-            demand[-(-n // grid)] += histogram[n]
-            by_unit.setdefault(-(-n // grid), []).append(n)
-    for config, amount in solve_fractional(demand, capacity // grid, rounds):
-        times = int(amount)
-        while times > 0:
-            # the configuration's units in true lengths, the longest first, as often as all of them last
-            content: dict[int, int] = {}
-            for u in np.flatnonzero(config):
-                copies = int(config[u])
-                for n in reversed(by_unit[u]):
-                    more = min(copies, left[n])
-                    if more > 0:
-                        content[n], copies = more, copies - more
-            if not content:
-                break
-            repeat = max(1, min(times, min(left[n] // k for n, k in content.items())))
-            for n, k in content.items():
-                left[n] -= k * repeat
-            rooms.open(sorted(content.items(), reverse=True), repeat)
-            times -= repeat
+def best_fit_decreasing(left: dict[int, int], rooms: Rooms) -> Rooms:
     for n in sorted((n for n in left if left[n]), reverse=True):
         rooms.best_fit(n, left[n])
+    return rooms
+
+
+def rounded(histogram: dict[int, int], capacity: int, sizes: np.ndarray, cover: list[tuple[np.ndarray, np.ndarray, float]]) -> Rooms:
+    """Whole sequences from a fractional cover: amounts rounded down, then one more of a configuration whenever the fractions passed so far add up to one, as far as
+    its pieces last. What is left over goes to best fit."""
+    left, rooms, due = dict(histogram), Rooms(capacity), 0.0
+
+    def take(content: list[tuple[int, int]], times: int) -> None:
+        times = min(times, *(left[n] // k for n, k in content))
+        if times > 0:
+            for n, k in content:
+                left[n] -= k * times
+            rooms.open(content, times)
+
+    contents = [([(int(sizes[i]), int(k)) for i, k in zip(at[::-1], copies[::-1], strict=True)], x) for at, copies, x in cover]
+    for content, x in contents:
+        take(content, int(x))
+    for content, x in contents:
+        due += x - int(x)
+        if due >= 1:
+            due -= 1
+            take(content, 1)
+    return best_fit_decreasing(left, rooms)
+
+
+def plan(histogram: dict[int, int], capacity: int) -> Plan:
+    """Every length takes part in the program. It ends once a rounded cover takes no more sequences than the dual bound asks for, which proves it best, or else with the best
+    that its rounds gave. Should that be worse than plain best fit decreasing, the latter is taken instead."""
+    sizes = np.array(sorted(n for n in histogram if histogram[n]), dtype=np.int64)
+    if not len(sizes):
+        return Plan(*np.zeros((5, 0), np.int64), 0)
+    rooms, bound = None, 0.0
+    for cover, bound in fractional_covers(sizes, np.array([histogram[n] for n in sizes.tolist()], float), capacity):
+        found = rounded(histogram, capacity, sizes, cover)
+        rooms = found if rooms is None or found.count() < rooms.count() else rooms
+        if rooms.count() <= math.ceil(bound - 1e-6):
+            break
+    else:
+        rooms = min(rooms, best_fit_decreasing(histogram, Rooms(capacity)), key=Rooms.count)
     runs, taken, count = [], dict.fromkeys(histogram, 0), 0
     for group in rooms.groups.values():
         for content, times in group:
@@ -227,7 +251,7 @@ def plan(histogram: dict[int, int], capacity: int, grid: int = 8, rounds: int =
                 at += n * copies
             count += times
     cols = np.array(sorted(runs), dtype=np.int64).reshape(-1, 5).T
-    return Plan(*cols, count)
+    return Plan(*cols, count, bound)
 
 
 def pack(
