@@ -46,7 +46,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two different segmentations of each text: a row per document and sample."""
+    """Two different segmentations of each text: a row per document and sample, each decoded again (``decoded_crc32`` is of the UTF-8 text that its ids give)."""
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
