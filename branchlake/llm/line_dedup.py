@@ -2,8 +2,9 @@
 
 Line hashes are range-partitioned by (hash, document), with a secondary sort by position, so a line that a third of all documents
 share is spread over neighbouring partitions. Each partition streams its sorted rows, takes the first occurrence of a hash in each document and counts
-them; only one count per hash and partition is shuffled further. Documents that lose lines get a keep bitmap in run-length form: the kept
-runs (start, length) of line numbers. A document without a bitmap keeps every line.
+them; only one count per hash and partition is shuffled further. Lines of common hashes are then found without gathering a hash in one task: the most frequent hashes, of which
+there can only be ``HOT`` because of their frequency, are broadcast; the others are joined, and each has a hundred-thousandth of all lines at most. Documents that lose lines get a
+keep bitmap in run-length form: the kept runs (start, length) of line numbers. A document without a bitmap keeps every line.
 """
 
 from __future__ import annotations
@@ -11,7 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from branchlake.llm.common import WHITE, ascii_lower, cut, text_or_empty
+from branchlake.llm.common import WHITE, ascii_lower, cut, release, text_or_empty
+
+#: no more hashes than this can have a share of 1 / HOT of all lines
+HOT = 100_000
 
 
 def split_lines(text: Column) -> Column:
@@ -41,14 +45,20 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .where(F.length("key") >= min_chars)
         .select(F.unhex(F.md5("key")).alias("h"), "id", "version", "pos")
     )
-    # the range partitioner samples its input and both branches below read it: split and hash the texts once
-    ranged = cut(lines, "lines").repartitionByRange("h", "id", "version")
+    # the range partitioner samples its input and the joins below read it again: split and hash the texts once
+    lines = cut(lines, "lines")
+    ranged = lines.repartitionByRange("h", "id", "version")
     first = F.row_number().over(Window.partitionBy("h", "id", "version").orderBy("pos")) == 1
-    counts = ranged.withColumn("first", first).where("first").groupBy("h").agg(F.count(F.lit(1)).alias("n_docs"))
-    common = counts.where(F.col("n_docs") >= min_docs).select("h")
+    counts = ranged.withColumn("first", first).groupBy("h").agg(F.count_if("first").alias("n_docs"), F.count(F.lit(1)).alias("n"))
+    common = cut(counts.where(F.col("n_docs") >= min_docs).select("h", "n"), "common-lines")
+    share = lines.count() / HOT
+    hot, rest = F.broadcast(common.where(F.col("n") > share).select("h")), common.where(F.col("n") <= share).select("h")
+    gone = lines.join(hot, "h", "left_semi").unionAll(lines.join(hot, "h", "left_anti").join(rest, "h", "left_semi"))
     # repeated rows bring a position several times
-    dropped = ranged.join(common, "h", "left_semi").groupBy("id", "version").agg(F.array_sort(F.collect_set("pos")).alias("gone"), F.max("pos").alias("last"))
-    return dropped.select("id", "version", F.size("gone").cast("long").alias("n_dropped"), kept_runs(F.col("gone")).alias("keep_runs"))
+    dropped = gone.groupBy("id", "version").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
+    out = cut(dropped.select("id", "version", F.size("gone").cast("long").alias("n_dropped"), kept_runs(F.col("gone")).alias("keep_runs")), "bitmaps")
+    release(lines, common)
+    return out
 
 
 def kept_runs(gone: Column) -> Column:
