@@ -47,6 +47,28 @@ def release(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Scratch:
+    """Tables written on the way to a result. Leaving the block deletes them, so the result itself must be written (``cut``) before that."""
+
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        release(*self.tables)
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(out := cut(df, name))
+        return out
+
+    def drop(self, df: DataFrame) -> None:
+        """Delete a table early."""
+        self.tables = [t for t in self.tables if t is not df]
+        release(df)
+
+
 def small_side(df: DataFrame, limit: int = 500_000) -> DataFrame:
     """A narrow written table marked for broadcast if it has at most ``limit`` rows; else as it is, for a shuffled join."""
     return F.broadcast(df) if df.count() <= limit else df

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchlake.llm.common import cut
+from branchlake.llm.common import Scratch
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -26,15 +26,16 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, rounds: int = 40) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v): root is the smallest node of its component.
 
-    Loops (u = v) and nulls are ignored, repeated and reversed edges count once; without edges the result is empty.
+    Loops (u = v) and nulls are ignored, repeated and reversed edges count once; without edges the result is empty. The result is read from a table in ``scratch``.
     """
-    now = cut(edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    now = scratch.cut(edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     seen = None
     for _ in range(rounds):
-        now = cut(_star(_star(now, True), False), "edges")
+        before, now = now, scratch.cut(_star(_star(now, True), False), "edges")
+        scratch.drop(before)
         mark = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if mark == seen:
             break

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from branchlake.llm.common import cut
+from branchlake.llm.common import Scratch, cut
 from branchlake.llm.components import components
 
 BLOCK = 1024
@@ -29,8 +29,8 @@ def classes_of(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) ->
 
 
 def class_key(label: str, vec: str) -> Column:
-    parts = F.transform(F.col(vec).cast("array<double>"), lambda x: F.coalesce(x.cast("string"), F.lit("null")))
-    return F.md5(F.concat_ws(",", F.col(label).cast("string"), parts))
+    """Label and components as JSON, so that a label holding the separator is told apart."""
+    return F.md5(F.to_json(F.struct(F.col(label).cast("string").alias("label"), F.transform(F.col(vec).cast("array<double>"), lambda x: F.coalesce(x.cast("string"), F.lit("null"))).alias("parts"))))
 
 
 def _unit(vec: pa.Array) -> np.ndarray:
@@ -145,25 +145,26 @@ def near_duplicates(
     Vectors link only under equal labels. A null label, a null, zero or empty vector, or one with a null or non-finite component links with nothing: its component is its own id. Repeated
     vectors are linked with one another and counted, never compared pairwise. Null ids keep their links and have the component of their vector. Empty input gives an empty result.
     """
-    classes = cut(classes_of(vectors, id_col, vec_col, label_col), "classes")
-    rows = coded(classes, passes, bits, seed)
-    placed = rows.repartitionByRange("pass", "label", "width", "code").sortWithinPartitions("pass", "label", "width", "code", "cls")
-    roots = components(window_pairs(placed, window, least)).withColumnsRenamed({"node": "cls"})
-    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).cast("int").alias("size"))
-    members = cut(roots.join(sizes, "root").join(classes.select("cls", "vec", "copies", "least"), "cls"), "members")
-    counts = block_counts(members, least)
-    heads = members.groupBy("root").agg(F.min("least").alias("head"))
-    found = members.select("cls", "root").join(heads, "root").join(counts, "cls").select("cls", "n", "head")
-    per_class = classes.select("cls", "copies", "least").join(found, "cls", "left").select(
-        "cls", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("head", "least").alias("component_id")
-    )
-    own = vectors.select(
-        F.col(id_col).alias("id"),
-        class_key(label_col, vec_col).alias("cls"),
-        F.col(label_col).isNotNull().alias("labelled"),
-    )
-    # an unusable vector can share no class: its text form holds NaN, Infinity or only zeros, or its label is null
-    out = own.join(per_class, "cls", "left")
+    with Scratch() as scratch:
+        classes = scratch.cut(classes_of(vectors, id_col, vec_col, label_col), "classes")
+        rows = coded(classes, passes, bits, seed)
+        placed = rows.repartitionByRange("pass", "label", "width", "code").sortWithinPartitions("pass", "label", "width", "code", "cls")
+        roots = components(window_pairs(placed, window, least), scratch).withColumnsRenamed({"node": "cls"})
+        sizes = roots.groupBy("root").agg(F.count(F.lit(1)).cast("int").alias("size"))
+        members = scratch.cut(roots.join(sizes, "root").join(classes.select("cls", "vec", "copies", "least"), "cls"), "members")
+        counts = block_counts(members, least)
+        heads = members.groupBy("root").agg(F.min("least").alias("head"))
+        found = members.select("cls", "root").join(heads, "root").join(counts, "cls").select("cls", "n", "head")
+        per_class = classes.select("cls", "copies", "least").join(found, "cls", "left").select(
+            "cls", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("head", "least").alias("component_id")
+        )
+        own = vectors.select(
+            F.col(id_col).alias("id"),
+            class_key(label_col, vec_col).alias("cls"),
+            F.col(label_col).isNotNull().alias("labelled"),
+        )
+        # an unusable vector can share no class: its text form holds NaN, Infinity or only zeros, or its label is null
+        out = cut(own.join(per_class, "cls", "left"), "vectors")
     component = F.when(F.col("labelled"), F.coalesce("component_id", "id")).otherwise(F.col("id"))
     return out.select(
         "id",

@@ -4,13 +4,14 @@ n is a set's size, t the threshold, e(n) = n - ceil(t n) the most tokens a linke
 
 1. Equal sets are one class, so copies are compared with nothing.
 2. Classes without a partner leave early. The head of a class is its first tokens in hash order, long enough that a token among the first q(n) of one class is in the head of any linked class
-   that has it. A class with p tokens among its first q that no other head has cannot be linked. Counting is repeated
+   that has it. A class with p tokens among its first q that no other head has cannot be linked. Counting is done for a slice of the hashes at a time, to hold less on disk, and repeated
    among the classes that are left, since only these can be partners.
 3. The rest count the exact frequency of their tokens and order them rare first, so two linked classes share a token within their first p places. Tokens in at most ``frequent`` classes are indexed one by
    one. Where a prefix reaches into more frequent tokens it is extended to 2e(n) + e(n/t) + 2 places, and two-token combinations of neighbours there are indexed: if the first common token is frequent, at most e tokens of either
    class are not shared from there on, so two common tokens must be neighbours in both that early. That is one combination per place, never all of them.
-4. Each index entry verifies its members against its first. What then still holds several components is verified in blocks, skipping pairs that are connected already. So a large
-   group of near copies costs a pass of its members, and no step emits all pairs of a group.
+4. Each index entry verifies its members against its first. Entries that still hold several components are looked through once more, by size and by a sketch of each set that bounds from below how
+   much two sets differ: what it can't tell apart is joined into clusters, which are then verified in blocks of whole sets, skipping pairs that are connected already. So a large
+   group of near copies costs a pass of its members, texts that merely share passages never form a cluster, and no step emits all pairs of a group.
 
 Overlaps are counted on whole sets of 64-bit shingle hashes.
 """
@@ -18,6 +19,7 @@ Overlaps are counted on whole sets of 64-bit shingle hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +27,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from branchlake.llm.common import cut, release, small_side
+from branchlake.llm.common import Scratch, cut, small_side
 from branchlake.llm.components import components
 
 BLOCK = 512
-SKETCH = 1024
+#: bits of a sketch
+SKETCH = 2048
 
 
 class WordHashes(dict):
@@ -70,8 +73,8 @@ def allowance(n: Column, percent: int) -> Column:
     return (n - F.floor((n * percent + 99) / 100)).cast("int")
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, with_head: bool) -> DataFrame:
-    """(id, fp, n) and the head on request: fp is a 128-bit digest of the set, null for an empty one; a set that only equal ones can match has no head. One that may lack no token itself
+def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """(id, fp, n, head): fp is a 128-bit digest of the set, null for an empty one; a set that only equal ones can match has no head. One that may lack no token itself
     can still lie in a larger partner, so the partner's greatest size decides."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,17 +87,22 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
                 fps.append(xxhash.xxh3_128_digest(s.tobytes()) if n else None)
                 ns.append(n)
                 most = n * 100 // percent
-                heads.append(s[: front(most, percent) + spare(n, percent)] if with_head and most > n else s[:0])
-            out = [b.column(0), pa.array(fps, pa.binary()), pa.array(ns, pa.int64())]
-            more = [pa.array(heads, pa.list_(pa.int64()))] if with_head else []
-            yield pa.RecordBatch.from_arrays(out + more, names=["id", "fp", "n", "head"][: 3 + with_head])
+                heads.append(s[: front(most, percent) + spare(n, percent)] if most > n else s[:0])
+            ends = np.cumsum([0, *map(len, heads)])
+            flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *heads])))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.binary()), pa.array(ns, pa.int64()), flat], names=["id", "fp", "n", "head"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp binary, n long" + ", head array<long>" * with_head)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp binary, n long, head array<long>")
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """The parity of the number of tokens in each of SKETCH cells: two sets differ in at least as many tokens as their sketches in bits."""
+    return np.packbits(np.bincount(tokens & (SKETCH - 1), minlength=SKETCH) & 1).tobytes()
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(cid, n, toks) of the classes ``wanted`` (cid, fp, least), from the texts of their smallest identifiers."""
+    """(cid, n, toks, sketch) of the classes ``wanted`` (cid, fp, least), from the texts of their smallest identifiers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -102,40 +110,64 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
             sets = [shingle_set(t, width, hashes) for t in b.column(0).to_pylist()]
             # several texts may share an identifier: the digest tells which one is meant
             own = pa.array([i for i, (s, fp) in enumerate(zip(sets, b.column(1).to_pylist(), strict=True)) if xxhash.xxh3_128_digest(s.tobytes()) == fp], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(2).take(own), pa.array([sets[i] for i in own.to_pylist()], pa.list_(pa.int64()))], names=["cid", "toks"])
+            mine = [sets[i] for i in own.to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(2).take(own), pa.array(mine, pa.list_(pa.int64())), pa.array(list(map(sketch, mine)), pa.binary())], names=["cid", "toks", "sketch"])
 
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = own.join(small_side(wanted.select("least", "fp", "cid")), F.col("id").eqNullSafe(F.col("least"))).select("text", "fp", "cid")
-    return texts.mapInArrow(run, "cid long, toks array<long>").groupBy("cid").agg(F.first("toks").alias("toks")).withColumn("n", F.size("toks").cast("long"))
-
-
-def possible(classes: DataFrame, percent: int, rounds: int = 3) -> DataFrame:
-    """Those of the classes (fp, least, n, head; a written table, used up) that step 2 can't rule out. Only these can be partners, so counting again among them rules out more."""
-    left = classes
-    for _ in range(rounds):
-        places = F.ceil((allowance(F.col("n"), percent) + 1) * 1.5)
-        tokens = left.select(F.xxhash64("fp").alias("own"), places.alias("q"), F.posexplode("head").alias("pos", "tok")).select("tok", "own", (F.col("pos") < F.col("q")).alias("early"))
-        alone = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df"), F.min("own").alias("own"), F.max("early").alias("early")).where("df = 1 AND early")
-        counts = alone.groupBy("own").agg(F.count(F.lit(1)).alias("alone"))
-        both = left.withColumn("own", F.xxhash64("fp")).join(counts, "own", "left")
-        fewer = cut(both.where(F.coalesce("alone", F.lit(0)) <= allowance(F.col("n"), percent)).drop("own", "alone"), "possible")
-        release(left)
-        left = fewer
+    return texts.mapInArrow(run, "cid long, toks array<long>, sketch binary").groupBy("cid").agg(F.first("toks").alias("toks"), F.first("sketch").alias("sketch")).withColumn("n", F.size("toks").cast("long"))
+
+
+def lonely(heads: DataFrame, percent: int, slices: int, scratch: Scratch) -> DataFrame:
+    """(own, alone) of the classes in heads (fp, n, head): how many of the first q tokens no other head has. Copies of a class count as one."""
+    places = F.ceil((allowance(F.col("n"), percent) + 1) * 1.5)
+    tokens = heads.select(owner(), places.alias("q"), F.posexplode("head").alias("pos", "tok"))
+    # the last bit of a mark says whether the token is early in its class
+    marked = tokens.select("tok", (F.shiftleft("own", 1) + (F.col("pos") < F.col("q")).cast("long")).alias("mark"))
+    parts = []
+    for i in range(slices):
+        seen = marked.where(F.pmod("tok", F.lit(slices)) == i).groupBy("tok").agg(F.min("mark").alias("mark"), F.max("mark").alias("other"))
+        alone = seen.where((F.col("mark") == F.col("other")) & (F.col("mark").bitwiseAND(F.lit(1)) == 1))
+        parts.append(scratch.cut(alone.groupBy(F.shiftright("mark", 1).alias("own")).agg(F.count(F.lit(1)).alias("alone")), "alone"))
+    return reduce(DataFrame.unionAll, parts).groupBy("own").agg(F.sum("alone").alias("alone"))
+
+
+def owner() -> Column:
+    """63 bits of a class's digest."""
+    return F.shiftright(F.shiftleft(F.xxhash64("fp"), 1), 1).alias("own")
+
+
+def possible(sig: DataFrame, percent: int, scratch: Scratch, rounds: int = 3, slices: int = 4) -> DataFrame:
+    """(fp, least, n) of the classes in ``sig`` (a table in ``scratch``, used up) that step 2 can't rule out. Only these can be partners, so counting again among them rules out more."""
+    heads = sig.where(F.size("head") > 0)
+    left = heads.groupBy("fp").agg(F.min("id").alias("least"), F.first("n").alias("n"))
+    table, heads = sig, heads.select("id", "fp", "n", "head")
+    for i in range(rounds):
+        counts = lonely(heads, percent, slices if i == 0 else 1, scratch)
+        both = left.withColumn("own", owner()).join(counts, "own", "left")
+        left = scratch.cut(both.where(F.coalesce("alone", F.lit(0)) <= allowance(F.col("n"), percent)).drop("own", "alone"), "possible")
+        if i + 1 < rounds:
+            wanted = small_side(left.select("fp", F.col("least").alias("id"))).alias("w")
+            own = heads.alias("h").join(wanted, (F.col("h.fp") == F.col("w.fp")) & F.col("h.id").eqNullSafe(F.col("w.id")))
+            heads = scratch.cut(own.select("h.id", "h.fp", "h.n", "h.head"), "heads")
+            scratch.drop(table)
+            table = heads
+    scratch.drop(table)
     return left
 
 
-def index_entries(sets: DataFrame, percent: int, frequent: int) -> DataFrame:
+def index_entries(sets: DataFrame, percent: int, frequent: int, scratch: Scratch) -> DataFrame:
     """sets (cid, n, toks) -> (key, cid, n): where each class is found. Tokens of a single class are only counted, they find nothing."""
     counts = sets.select(F.explode("toks").alias("tok"), "cid").groupBy("tok").agg(F.count(F.lit(1)).alias("df"), F.min("cid").alias("owner"))
-    freq = cut(counts.select(F.when(F.col("df") > 1, F.col("tok")).alias("tok"), "df", F.when(F.col("df") == 1, F.col("owner")).alias("owner")), "frequency")
-    before = cut(freq.where("df = 1").groupBy("owner").agg(F.count(F.lit(1)).alias("before")), "before")
+    freq = scratch.cut(counts.select(F.when(F.col("df") > 1, F.col("tok")).alias("tok"), "df", F.when(F.col("df") == 1, F.col("owner")).alias("owner")), "frequency")
+    before = scratch.cut(freq.where("df = 1").groupBy("owner").agg(F.count(F.lit(1)).alias("before")), "before")
     open_ = sets.join(small_side(before), F.col("cid") == F.col("owner"), "left").where(F.coalesce("before", F.lit(0)) <= allowance(F.col("n"), percent))
     shared = freq.where("df > 1").select("tok", "df")
     own = open_.select(F.explode("toks").alias("tok"), "cid").join(shared, "tok").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("own"))
     ordered = own.join(small_side(sets.select("cid", "n")), "cid")
     prefix = allowance(F.col("n"), percent) + 1
     short = ordered.withColumn("before", F.col("n") - F.size("own")).withColumn("p", prefix).where("before < p")
-    short = cut(short.withColumn("rare", F.filter("own", lambda x: x["df"] <= frequent)).withColumn("hot", F.filter("own", lambda x: x["df"] > frequent)).drop("own"), "prefixes")
+    short = scratch.cut(short.withColumn("rare", F.filter("own", lambda x: x["df"] <= frequent)).withColumn("hot", F.filter("own", lambda x: x["df"] > frequent)).drop("own"), "prefixes")
     singles = short.select(F.explode(F.slice("rare", 1, (F.col("p") - F.col("before")).cast("int"))).alias("x"), "cid", "n").select(F.col("x.tok").alias("key"), "cid", "n")
     done = F.col("before") + F.size("rare")
     reach = (2 * allowance(F.col("n"), percent) + allowance(F.floor(F.col("n") * 100 / percent), percent) + 2 - done).cast("int")
@@ -152,65 +184,63 @@ def linked(overlap: Column, a: Column, b: Column, percent: int) -> Column:
     return overlap * 100 >= (a + b - overlap) * percent
 
 
-def block_edges(members: DataFrame, percent: int) -> DataFrame:
-    """members (cluster, size, cid, label, n, toks) -> (u, v): links that join different labels, a spanning set of them per pair of blocks."""
-    own = members.withColumn("k", F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")).withColumn("b", F.pmod(F.xxhash64("cid"), F.col("k")).cast("int"))
-    dealt = own.select("cluster", "cid", "label", "n", "toks", "b", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o"))
-    dealt = dealt.select("cluster", F.least("b", "o").alias("lo"), F.greatest("b", "o").alias("hi"), "b", "cid", "label", "n", "toks")
-    placed = dealt.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi", "n", "cid")
+def in_blocks(members: DataFrame, group: str, size: str, columns: list[str], percent: int, whole: bool) -> DataFrame:
+    """(u, v): pairs of members (cid) of a group that may be linked, or are (``whole``), and have different labels; a spanning set of them per pair of blocks of BLOCK members.
+
+    columns: cid, label, n, sketch and, if ``whole``, toks.
+    """
+    own = members.withColumn("k", F.greatest(F.lit(1), F.ceil(F.col(size) / BLOCK)).cast("int")).withColumn("b", F.pmod(F.xxhash64("cid"), F.col("k")).cast("int"))
+    dealt = own.select(F.col(group).alias("g"), "b", *columns, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o"))
+    dealt = dealt.select("g", F.least("b", "o").alias("lo"), F.greatest("b", "o").alias("hi"), "b", *columns)
+    placed = dealt.repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi", "n", "cid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
         for b in batches:
-            cols = [b.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 5)]
-            toks = b.column(7)
-            for i, row in enumerate(zip(*cols, strict=True)):
-                if key is not None and row[:3] != key:
-                    yield _spanning(held, key, percent)
+            keys = list(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
+            edges = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if lo == hi:
+                    continue
+                if key is not None and keys[lo] != key:
+                    yield _spanning(held, key, percent, whole)
                     held = []
-                key = row[:3]
-                held.append((row[3], row[4], row[5], toks[i].values.to_numpy()))
+                key = keys[lo]
+                held.append(b.slice(lo, hi - lo))
         if held:
-            yield _spanning(held, key, percent)
+            yield _spanning(held, key, percent, whole)
 
     return placed.mapInArrow(run, "u long, v long")
 
 
-def _spanning(held: list[tuple], key: tuple, percent: int) -> pa.RecordBatch:
-    """held: (block, cid, label, tokens) by size. A parity sketch bounds the symmetric difference from below, so most pairs need no intersection."""
-    above: dict = {}
+def _spanning(held: list[pa.RecordBatch], key: tuple, percent: int, whole: bool) -> pa.RecordBatch:
+    """By size: only smaller sets that are large enough, of another label, and that the sketches don't tell apart are looked at; a pair found unites its labels."""
+    t = pa.Table.from_batches(held).combine_chunks()
+    cid, n, side = (t[c].to_numpy() for c in ("cid", "n", "b"))
+    lab = np.unique(t["label"].to_numpy(), return_inverse=True)[1]
+    bits = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(len(n), -1)
+    tokens = t["toks"].combine_chunks() if whole else None
+    least = np.searchsorted(n, -(-n * percent // 100))
+    sets: dict[int, set] = {}
 
-    def top(x):
-        while x in above:
-            x = above[x]
-        return x
+    def tokens_of(i: int) -> set:
+        if i not in sets:
+            sets[i] = set(tokens[i].values.to_numpy().tolist())
+        return sets[i]
 
-    sketch = [int.from_bytes(np.packbits(np.bincount(t & (SKETCH - 1), minlength=SKETCH) & 1).tobytes(), "big") for *_, t in held]
-    sets: dict[int, set] = {}
     us, vs = [], []
-    _, lo, hi = key
-    for j, (bj, cj, lj, tj) in enumerate(held):
-        nj = len(tj)
-        for i in range(j - 1, -1, -1):
-            bi, ci, li, ti = held[i]
-            ni = len(ti)
-            if ni * 100 < nj * percent:
-                break
-            if lo != hi and bi == bj:
-                continue
-            need = -(-percent * (ni + nj) // (100 + percent))
-            if (sketch[i] ^ sketch[j]).bit_count() > ni + nj - 2 * need:
-                continue
-            a, b = top(li), top(lj)
-            if a == b:
-                continue
-            for at, t in ((i, ti), (j, tj)):
-                if at not in sets:
-                    sets[at] = set(t.tolist())
-            if len(sets[i] & sets[j]) >= need:
-                above[max(a, b)] = min(a, b)
-                us.append(ci)
-                vs.append(cj)
+    for j in range(1, len(n)):
+        near = np.arange(least[j], j)
+        near = near[(lab[near] != lab[j]) & ((side[near] != side[j]) if key[1] != key[2] else True)]
+        if not len(near):
+            continue
+        need = -(-percent * (n[near] + n[j]) // (100 + percent))
+        some = np.bitwise_count(bits[near] ^ bits[j]).sum(axis=1, dtype=np.int64) <= n[near] + n[j] - 2 * need
+        for i, least_shared in zip(near[some].tolist(), need[some].tolist(), strict=True):
+            if lab[i] != lab[j] and (not whole or len(tokens_of(i) & tokens_of(j)) >= least_shared):
+                lab[lab == lab[i]] = lab[j]
+                us.append(cid[i])
+                vs.append(cid[j])
     return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
 
@@ -225,35 +255,41 @@ def ngram_components(
     """
     if not 80 <= percent <= 100:
         raise ValueError("percent must be 80 to 100")
-    sig = cut(signatures(docs, id_col, text_col, width, percent, False), "signatures")
-    headed = signatures(docs, id_col, text_col, width, percent, True).where(F.size("head") > 0)
-    classes = cut(headed.groupBy("fp").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("head").alias("head")), "classes")
-    narrowed = possible(classes, percent)
-    rest = cut(narrowed.select("fp", "least", "n").withColumn("cid", F.monotonically_increasing_id()), "partners")
-    release(narrowed)
-    sets = cut(whole_sets(docs, rest, id_col, text_col, width), "sets")
-    index = cut(index_entries(sets, percent, frequent), "index")
-    shared = cut(index.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("cid", "n")).alias("first")).where(F.col("many") > 1), "shared")
-    members = cut(index.join(shared, "key").select("key", "cid", "n", "many", F.col("first.cid").alias("pivot"), F.col("first.n").alias("pivot_n")), "members")
+    with Scratch() as scratch:
+        return _components(docs, id_col, text_col, width, percent, frequent, scratch)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, frequent: int, scratch: Scratch) -> DataFrame:
+    headed = scratch.cut(signatures(docs, id_col, text_col, width, percent), "heads")
+    sig = scratch.cut(headed.select("id", "fp", "n"), "signatures")
+    rest = scratch.cut(possible(headed, percent, scratch).withColumn("cid", F.monotonically_increasing_id()), "partners")
+    sets = scratch.cut(whole_sets(docs, rest, id_col, text_col, width), "sets")
+    index = scratch.cut(index_entries(sets, percent, frequent, scratch), "index")
+    shared = scratch.cut(index.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("cid", "n")).alias("first")).where(F.col("many") > 1), "shared")
+    members = scratch.cut(index.join(shared, "key").select("key", "cid", "n", "many", F.col("first.cid").alias("pivot"), F.col("first.n").alias("pivot_n")), "members")
 
     star = members.where((F.col("cid") != F.col("pivot")) & similar_sizes("n", "pivot_n", percent)).select(F.col("pivot").alias("u"), F.col("cid").alias("v")).distinct()
     left, right = (sets.select(F.col("cid").alias(k), F.col("n").alias(f"n_{k}"), F.col("toks").alias(f"t_{k}")) for k in "uv")
     overlap = F.size(F.array_intersect("t_u", "t_v"))
-    edges = cut(star.join(left, "u").join(right, "v").where(linked(overlap, F.col("n_u"), F.col("n_v"), percent)).select("u", "v"), "links")
-    first = components(edges).withColumnsRenamed({"node": "cid", "root": "label"})
+    edges = scratch.cut(star.join(left, "u").join(right, "v").where(linked(overlap, F.col("n_u"), F.col("n_v"), percent)).select("u", "v"), "links")
+    first = components(edges, scratch).withColumnsRenamed({"node": "cid", "root": "label"})
 
     labelled = members.where(F.col("many") > 2).join(first, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("cid").alias("head")).where("lo <> hi").select("key", "head")
-    unsure = cut(labelled.join(open_keys, "key").select("cid", "label", "head").distinct(), "open")
-    clusters = components(unsure.select(F.col("head").alias("u"), F.col("cid").alias("v"))).withColumnsRenamed({"node": "cid", "root": "cluster"})
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    inside = clusters.join(sizes, "cluster").join(unsure.select("cid", "label").distinct(), "cid").join(sets, "cid")
-    more = block_edges(inside.select("cluster", "size", "cid", "label", "n", "toks"), percent)
-
-    roots = components(edges.unionByName(more)).withColumnsRenamed({"node": "cid"})
+    open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("same")).where("lo <> hi")
+    # entries of the very same members are looked through once
+    unsure = scratch.cut(labelled.select("key", "cid", "many", "label").join(open_keys.groupBy("same").agg(F.min("key").alias("key")).select("key"), "key"), "open")
+    roots = first.withColumnsRenamed({"label": "root"})
+    if not unsure.isEmpty():
+        sketched = unsure.join(sets.select("cid", "n", "sketch"), "cid")
+        maybe = scratch.cut(in_blocks(sketched, "key", "many", ["cid", "label", "n", "sketch"], percent, False), "maybe")
+        clusters = components(maybe, scratch).withColumnsRenamed({"node": "cid", "root": "cluster"})
+        sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+        inside = clusters.join(sizes, "cluster").join(unsure.select("cid", "label").distinct(), "cid").join(sets, "cid")
+        more = in_blocks(inside, "cluster", "size", ["cid", "label", "n", "sketch", "toks"], percent, True)
+        roots = components(edges.unionByName(more), scratch).withColumnsRenamed({"node": "cid"})
     named = rest.select("cid", "fp").join(roots, "cid").select("fp", "root")
     joined = sig.where(F.col("fp").isNotNull()).groupBy("fp").agg(F.min("id").alias("least")).join(named, "fp", "left")
     heads = joined.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("least").alias("head"))
     found = joined.join(heads, "root", "left").select("fp", F.coalesce("head", "least").alias("component_id"))
     out = sig.select("id", "fp", "n").join(found, "fp", "left")
-    return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("fp").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    return cut(out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("fp").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")), "ngram-components")

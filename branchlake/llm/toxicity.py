@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchlake.llm.common import cut, hash_share
+from branchlake.llm.common import Scratch, hash_share
 
 # Second-person pronouns of the four languages.
 SECOND_PERSON = frozenset("you your yours yourself tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch euer ti tú tus usted ustedes vosotros".split())
@@ -220,14 +220,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, terms: int = 5
 
     About ``sample`` labelled rows are used, chosen by hash, and at most ``terms`` lexicon entries. Without any labelled row of a class the model scores the base rate.
     """
+    with Scratch() as scratch:
+        return _fit(docs, labels, sample, terms, least, odds, scratch)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, sample: int, terms: int, least: int, odds: float, scratch: Scratch) -> Model:
     rows = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxicity"))
     chosen = rows.withColumn("o", order).where(hash_share(F.col("o"), sample, rows.count())).withColumn("fold", F.pmod(F.shiftright("o", 50), F.lit(10)))
     known = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "toxic", "fold")), "doc_id").where(F.col("text").isNotNull())
-    known = cut(known.groupBy("doc_id", "toxic", "fold").agg(F.min("text").alias("text")), "labelled")  # one text for each identifier
+    known = scratch.cut(known.groupBy("doc_id", "toxic", "fold").agg(F.min("text").alias("text")), "labelled")  # one text for each identifier
     rows_ = known.select("text", (F.col("toxic") > 0).alias("toxic"), (F.col("fold") % 2).cast("int").alias("half"), F.floor(F.col("fold") / 2).cast("int").alias("fifth"))
     counts = rows_.mapInArrow(term_counts, "term string, c0 long, t0 long, c1 long, t1 long").groupBy("term").agg(*[F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1")])
-    counts = cut(counts.where(F.col("t0") + F.col("t1") >= min(least, 3)), "terms")
+    counts = scratch.cut(counts.where(F.col("t0") + F.col("t1") >= min(least, 3)), "terms")
     size = {(r["half"], r["toxic"]): r["n"] for r in rows_.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def lexicon_of(halves: tuple[int, ...]) -> Lexicon:

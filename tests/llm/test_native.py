@@ -33,6 +33,21 @@ def test_native_plans_hold_no_python(spark, sf):
         assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_exact_runs_are_sorted_and_merged(spark, sf):
+    """Every level of the tree sorts its runs and streams them; nothing is aggregated by hashing."""
+    plan = queries.op7_exact_dedup(spark, sf)._jdf.queryExecution().sparkPlan().toString()
+    whole = queries.op7_exact_dedup(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortAggregate") == 6 and "HashAggregate" not in plan
+    assert len(re.findall(r"Sort \[run#\d+ ASC NULLS FIRST, digest#\d+ ASC", whole)) >= 6
+
+
+def test_common_lines_are_not_gathered(spark):
+    """A line of a third of all rows is found by a broadcast of hashes; lines are dealt out by range once."""
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("own "), F.col("id").cast("string"), F.when(F.col("id") % 3 == 0, "\nshared").otherwise(F.concat(F.lit("\n"), (F.col("id") % 100).cast("string")))).alias("text"))
+    marks = {r["id"]: (r["n_dropped"], *[tuple(x) for x in r["keep_runs"]]) for r in line_dedup.keep_bitmaps(rows).collect()}
+    assert len(marks) == 3000 and set(marks.values()) <= {(1, (0, 1)), (1, (0, 1), (2, None))}
+
+
 def test_shards_have_exact_sizes(spark, sf):
     rows = queries.op1_sharding(spark, sf).collect()
     by = defaultdict(list)
