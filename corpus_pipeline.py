@@ -6,11 +6,12 @@ Each stage takes (spark, docs, sf_dir) and all that the one before kept; all but
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from branchlake.llm import line_dedup, ngram_join, packing, pii, q_text, toxicity
-from branchlake.llm.common import cut
+from branchlake.llm.common import cut, release, small_side
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -35,13 +36,17 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, Jaccard of 0.8 or more) one row stays, of the smallest doc_id (null comes last); texts without words all stay.
 
-    Identifiers may repeat or be null, so rows are told apart by a key of their own, which is written to hold against retries.
+    Identifiers may repeat or be null, so rows are told apart by their place in the files that they are read from; rows that come from elsewhere are written first.
     """
-    keyed = cut(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
-    named = keyed.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row").alias("key"), "text")
+    place = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    try:
+        keyed = docs.select(*COLUMNS, *place)
+    except AnalysisException:
+        keyed = cut(docs.select(*COLUMNS), "pipeline-rows").select(*COLUMNS, *place)
+    named = keyed.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file", "row").alias("key"), "text")
     found = ngram_join.ngram_components(named, id_col="key", width=5, percent=80)
-    gone = found.where(F.col("id") != F.col("component_id")).select("id.row")
-    return _columns(keyed.join(gone, "row", "left_anti"))
+    gone = found.where(F.col("id") != F.col("component_id")).select("id.file", "id.row")
+    return _columns(keyed.join(small_side(gone), ["file", "row"], "left_anti"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,6 +73,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if i:
+            release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
