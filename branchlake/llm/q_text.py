@@ -35,7 +35,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = pii.find(docs, pii.fit(docs))
+    found = pii.find(docs, pii.fit())
     base, every = F.filter("pii", lambda s: s["base"]), F.col("pii")
     return found.select(
         "doc_id",

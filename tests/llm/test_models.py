@@ -134,43 +134,79 @@ def brute_pii(t):
 
 
 def test_base_spans_against_brute_force(docs):
-    odd_ones = ["a@b.c@d.e", "a@b.com_x@y.com", "@@a@b.c", "a@@b.c a@b", "1.2.3.4.5.6.7.8", "256.1.1.1", "0000.1.2.3 00000255.1.1.1", "4444 4444-4444 4448", "+1 (555) 123-4567", "+1--------2", "é" * 9 + "🙂x@y.z", ""]
+    odd_ones = ["a@b.c@d.e", "a@b.com_x@y.com", "@@a@b.c", "a@@b.c a@b", "1.2.3.4.5.6.7.8", "256.1.1.1", "0000.1.2.3 00000255.1.1.1", "4444 4444-4444 4448", "+1 (555) 123-4567", "+1--------2", "1.2.3.4.5.6.7", "1..2.3.4.5", "1.2.3.4.", ".1.2.3.04", "é" * 9 + "🙂x@y.z", ""]
     for t in [r["text"] for r in docs.select("text").collect()] + odd_ones:
         assert sorted(pii.base_spans(t)) == brute_pii(t)
 
 
-def test_field_learns_shapes_and_adds_spans():
-    """Trained on labelled phone numbers, it finds one that the base pattern does not know."""
-    make, table = pii.Featurizer(), []
-    for i in range(60):
-        for t in (f"call +1 (0{i}) 555-{1000 + i} now", f"mail me.{i}@mail{i}.example.com or", f"number {10000 + i} and {i} left"):
-            spans = pii.base_spans(t)
-            table += [(make(t, s), pii.label_segment(s, spans)) for s in pii.segments(t)]
-    field = pii.train(table)
-    texts = ["ring (017) 555-7713 today", "ab.12@mail3.example.com", "only 10044 things", ""]
-    (b0, a0), (b1, a1), (b2, a2), (b3, a3) = pii.all_spans(texts, field, make, 1.0)
-    assert not b0 and [(k, texts[0][s:e]) for k, s, e in a0] == [(3, "(017) 555-7713")]
-    assert [k for k, *_ in b1] == [0] and not a1 and not b2 and not a2 and not b3 and not a3
+def missed(t, base):
+    """Planted personal data of the tables that the base patterns lose, because they swallow a neighbour too."""
+    found = [(3, *m.span()) for m in re.finditer(r"\+1 \([0-9]{3}\) 555-[0-9]{4}(?![0-9])", t)] + [(2, *m.span()) for m in re.finditer(r"(?<!\S)[0-9]{16}(?![0-9])", t) if pii.luhn(m[0])]
+    return {x for x in found if not any(e > x[1] and s < x[2] for _, s, e in base)}
 
 
-def test_viterbi_is_the_best_path():
-    rng = np.random.default_rng(0)
-    field = pii.Field(rng.standard_normal((pii.BUCKETS, 5)), rng.standard_normal((5, 5)))
-    feats = [[[0, 3, 7], [1, 4, 4]], [[2, 2, 2]], [[5, 6, 7], [9, 9, 1], [3, 3, 3]]]
+def test_field_adds_what_the_base_patterns_lose_and_nothing_else():
+    """Over all texts of a table: every planted number that is lost next to another one, and no other span."""
+    import pyarrow.parquet as pq
+
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].to_pylist()]
+    want, got = set(), set()
+    for i, (t, (base, added)) in enumerate(zip(texts, pii.all_spans(texts, pii.fit(), pii.Featurizer(), pii.SURE), strict=True)):
+        want |= {(i, *x) for x in missed(t, base)}
+        got |= {(i, *x) for x in added}
+    assert got == want and len(want) >= 5
+
+
+def test_field_on_held_out_lines():
+    """A quarter of the written table is kept out of the fit: other digits and other words."""
+    rows = pii.labelled()
+    field, held = pii.train(pii.training_table([r for r in rows if r[2] % 4 != 3])), [r for r in rows if r[2] % 4 == 3]
+    hit = extra = lost = 0
+    for (_, spans, _), (base, added) in zip(held, pii.all_spans([r[0] for r in held], field, pii.Featurizer(), pii.SURE), strict=True):
+        want = {x for x in spans if not any(e > x[1] and s < x[2] for _, s, e in base)}
+        hit, extra, lost = hit + len(want & set(added)), extra + len(set(added) - want), lost + len(want - set(added))
+    assert hit + lost > 80 and hit / (hit + extra) >= 0.97 and hit / (hit + lost) >= 0.85
+
+
+def test_viterbi_and_chain_probabilities_against_all_paths():
     import itertools
 
-    for f, (path, _) in zip(feats, field.decode(feats), strict=True):
+    rng, k = np.random.default_rng(0), len(pii.LABELS)
+    field = pii.Field(rng.standard_normal((pii.BUCKETS, k)), rng.standard_normal((k, k)))
+    feats = [[[0, 3, 7], [1, 4, 4]], [[2, 2, 2]], [[5, 6, 7], [9, 9, 1], [3, 3, 3]]]
+    for f, path, runs in zip(feats, field.paths(*field.scores(feats)).tolist(), field.decode(feats), strict=True):
         score = lambda y: sum(field.emit[x, a].sum() for x, a in zip(map(list, f), y, strict=True)) + sum(field.move[a, b] for a, b in zip(y, y[1:], strict=False))  # noqa: B023, E731
-        assert tuple(path) == max(itertools.product(range(5), repeat=len(f)), key=score)
+        every = {y: math.exp(score(y)) for y in itertools.product(range(k), repeat=len(f))}
+        best = max(every, key=every.get)
+        assert tuple(path[: len(f)]) == best
+        for _, first, last, chance in runs:
+            share = sum(v for y, v in every.items() if y[first : last + 1] == best[first : last + 1]) / sum(every.values())
+            assert abs(chance - share) < 1e-9
+
+
+def test_segments_take_one_plain_token_on_either_side():
+    words = lambda t: [[t[s:e] for s, e in seg] for seg in pii.segments(t)]
+    assert words("a b 12 c d") == [["b", "12", "c"]] and words("a 1 b 2 c") == [["a", "1", "b", "2", "c"]] and words("no mark") == [] and words("x\n\n\n5") == [["5"]]
+    assert words("1 a b 2") == [["1", "a", "b", "2"]] and words("@ é 3") == [["@", "é", "3"]]
+
+
+@pytest.mark.parametrize("text", ["1" * 1_000_000, "a" * 1_000_000, "1." * 500_000, "+1" * 300_000, "a@" * 300_000, "1.2.3.4.5 " * 20_000, "+1" + " " * 1_000_000])
+def test_pii_of_very_long_texts(text):
+    import time
+
+    field, make = pii.fit(2), pii.Featurizer()
+    began = time.process_time()
+    (base, _), = pii.all_spans([text], field, make, pii.SURE)
+    assert time.process_time() - began < 15 and all(0 <= s < e <= len(text) for _, s, e in base)
 
 
 def test_pii_of_odd_and_empty_tables(odd, none):
-    field = pii.fit(odd)
+    field = pii.fit()
     out = pii.find(odd, field).collect()
     assert len(out) == odd.count() and {r["doc_id"] for r in out if r["pii"]} == {5}
     red = {r["doc_id"]: r["text"] for r in pii.redact(odd, field).collect()}
     assert red[5].endswith("<EMAIL>") and red[3] is None and red[4] == ""
-    assert pii.find(none, pii.fit(none)).count() == 0
+    assert pii.find(none, field).count() == 0
 
 
 # ---- pieces
