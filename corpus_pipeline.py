@@ -51,7 +51,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data give way to their kind in angle brackets; every document stays."""
-    return _columns(pii.redact(docs.select(*COLUMNS), pii.fit(docs)))
+    return _columns(pii.redact(docs.select(*COLUMNS), pii.fit()))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
