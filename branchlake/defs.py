@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+# Reserved names and stamps.
 BRANCH, INSERTED, UPDATED, HASH, VERSION, VERSION_DATE = "BRANCH_ID", "insert_at", "Recorded_updated_at", "merge_hash", "version", "version_date"
 HELPER_CDC, HELPER_DATE = "ETL_HELPER_CDC", "ETL_HELPER_DATE"
 DERIVED_KEY = "DERIVED_KEY"
-INJECTED = (BRANCH, INSERTED, UPDATED)
+INJECTED = (# Fixed values: reserved names and stamps.
+BRANCH, INSERTED, UPDATED)
 STAMPS = (*INJECTED, HASH, VERSION, VERSION_DATE)
 OPERATORS = frozenset({"<", "<=", ">", ">=", "="})
 

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 NULL, SEPARATOR = "\x00\x00NULL", "\x1f"
 #: Julian day number of 1970-01-01
 EPOCH_JULIAN = 2440588
+#: types that a text column may turn out to hold, the narrowest first
+INFERRED = ("bigint", "decimal(38,10)", "double", "date", "timestamp_ntz")
 
 _INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType)
@@ -22,9 +24,9 @@ def canon_decimal(c: Column) -> Column:
 
 
 def canon(c: Column, kind: T.DataType) -> Column:
-    """Canonical text of a value; null has a sentinel of its own. Times lose what is below a second."""
+    """Canonical text of a value; null has a sentinel of its own. Times lose what is below a second; zoned ones are told by their wall clock in UTC, whatever the session's zone."""
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        out = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        out = F.date_format(naive_utc(c) if isinstance(kind, T.TimestampType) else c, "yyyy-MM-dd HH:mm:ss")
     elif isinstance(kind, T.DateType):
         out = F.date_format(c, "yyyy-MM-dd")
     elif isinstance(kind, T.DecimalType):
@@ -103,15 +105,20 @@ def from_julian(c: Column) -> Column:
 
 
 def naive_utc(c: Column) -> Column:
-    """A zoned instant as its wall clock in UTC, whatever the session's zone."""
-    return F.to_utc_timestamp(c.cast("timestamp"), F.current_timezone()).cast("timestamp_ntz")
+    """A zoned instant as its wall clock in UTC, whatever the session's zone: days and seconds since 1970 without a zone in between, so that no local hour is missing or doubled."""
+    micros = F.unix_micros(c.cast("timestamp"))
+    days = F.floor(micros / F.lit(86_400_000_000)).cast("int")
+    seconds = ((micros - days.cast("bigint") * 86_400_000_000).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), F.lit(0), seconds)
 
 
 def safe_cast(df: DataFrame, name: str, kind: str) -> DataFrame:
-    """Cast a text column if every value fits, else keep the text; one aggregate decides."""
+    """Cast a text column to ``kind`` if every value fits, else to the first of INFERRED that all fit, else keep the text; one aggregate decides."""
     c = F.col(f"`{name}`")
-    lost = df.agg(F.count_if(c.isNotNull() & c.try_cast(kind).isNull()).alias("n")).first()["n"]
-    return df if lost else df.withColumn(name, c.try_cast(kind))
+    kinds = [kind, *(k for k in INFERRED if k != kind)]
+    lost = df.agg(*[F.count_if(c.isNotNull() & c.try_cast(k).isNull()).alias(k) for k in kinds], F.count(c).alias("values")).first()
+    fits = [k for k in kinds if not lost[k] and (k == kind or lost["values"])]
+    return df.withColumn(name, c.try_cast(fits[0])) if fits else df
 
 
 def fmt(c: Column, kind: T.DataType) -> Column:

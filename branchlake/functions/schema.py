@@ -11,33 +11,33 @@ from pyspark.sql import types as T
 
 from branchlake.defs import HELPER_CDC, HELPER_DATE, STAMPS, normal
 
-_INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_TIMES = (T.TimestampType, T.TimestampNTZType)
+#: families of types; within one the wider wins, across families only text fits both
+FAMILIES = {"whole": (T.ByteType, T.ShortType, T.IntegerType, T.LongType), "exact": (T.DecimalType,), "binary": (T.FloatType, T.DoubleType), "time": (T.TimestampType, T.TimestampNTZType)}
 #: digits that an integer counts for next to a decimal
 INT_DIGITS = 18
 
 
+def _family(kind: T.DataType) -> str | None:
+    return next((name for name, kinds in FAMILIES.items() if isinstance(kind, kinds)), None)
+
+
+def _decimal(a: T.DataType, b: T.DataType) -> T.DecimalType:
+    digits = [(k.precision - k.scale, k.scale) if isinstance(k, T.DecimalType) else (INT_DIGITS, 0) for k in (a, b)]
+    whole, scale = (max(d[i] for d in digits) for i in (0, 1))
+    return T.DecimalType(min(38, whole + scale), scale)
+
+
 def widen(a: T.DataType, b: T.DataType) -> T.DataType:
-    """The type both fit; strings take everything that has no closer common type."""
-    if a == b:
-        return a
-    if isinstance(a, T.NullType):
-        return b
-    if isinstance(b, T.NullType):
-        return a
-    kinds = (a, b)
-    if any(isinstance(k, T.StringType) for k in kinds):
-        return T.StringType()
-    numbers = (*_INTS, T.DecimalType, T.FloatType, T.DoubleType)
-    if all(isinstance(k, numbers) for k in kinds):
-        if any(isinstance(k, (T.FloatType, T.DoubleType)) for k in kinds):
-            return T.DoubleType()
-        (p1, s1), (p2, s2) = ((k.precision, k.scale) if isinstance(k, T.DecimalType) else (INT_DIGITS, 0) for k in kinds)
-        scale = max(s1, s2)
-        return T.DecimalType(min(38, max(p1 - s1, p2 - s2) + scale), scale)
-    if all(isinstance(k, _TIMES) for k in kinds):
+    """The type both fit; strings take everything that has no closer common type, an all-null column takes the other's."""
+    known = [k for k in (a, b) if not isinstance(k, T.NullType)]
+    if len({k.simpleString() for k in known}) < 2:
+        return known[0] if known else a
+    families = {_family(a), _family(b)}
+    if families == {"time"}:
         return T.TimestampNTZType()
-    return T.StringType()
+    if None in families or "time" in families:
+        return T.StringType()
+    return T.DoubleType() if "binary" in families else _decimal(a, b)
 
 
 def unify_schemas(schemas: list[T.StructType]) -> T.StructType:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,25 +21,18 @@ def append_log(log: DataFrame, rows: DataFrame) -> DataFrame:
     return log.unionByName(rows, allowMissingColumns=True)
 
 
-def _later(old: Column, new: Column) -> Column:
-    """The larger mark: as numbers if both are, else as text; null keeps the old one."""
-    a, b = old.try_cast("double"), new.try_cast("double")
-    numeric = F.when(b > a, new).otherwise(old)
-    text = F.when(new > old, new).otherwise(old)
-    return F.when(new.isNull(), old).when(old.isNull(), new).when(a.isNotNull() & b.isNotNull(), numeric).otherwise(text)
-
-
 def advance(control: DataFrame, captured: DataFrame) -> DataFrame:
-    """Control marks after a run. ``captured`` has the same columns; a number that does not parse gives way to the new value."""
-    old, new = control.alias("o"), captured.alias("n")
-    joined = old.join(new, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in UNIT], "full_outer")
+    """Control marks after a run. ``captured`` has the same columns; the larger mark stays with its kind: numbers compare as numbers, other kinds as text, and a number that
+    does not parse gives way to the new value."""
+    joined = control.alias("o").join(captured.alias("n"), [F.col(f"o.{k}") == F.col(f"n.{k}") for k in UNIT], "full_outer")
     out = [F.coalesce(F.col(f"n.{k}"), F.col(f"o.{k}")).alias(k) for k in UNIT]
     for role in ("cdc", "date"):
-        ov, nv, kind = F.col(f"o.last_{role}_value"), F.col(f"n.last_{role}_value"), F.col(f"n.last_{role}_kind")
-        broken = (kind == "number") & nv.isNotNull() & (ov.try_cast("double").isNull() | nv.try_cast("double").isNull())
-        plain = F.when(nv.isNull(), ov).when(ov.isNull(), nv).when(kind == "number", _later(ov, nv)).otherwise(F.greatest(ov, nv))
-        out.append(F.when(broken, nv).otherwise(plain).alias(f"last_{role}_value"))
-        out.append(F.coalesce(kind, F.col(f"o.last_{role}_kind")).alias(f"last_{role}_kind"))
+        old, new = (F.struct(F.col(f"{side}.last_{role}_value").alias("value"), F.col(f"{side}.last_{role}_kind").alias("kind")) for side in "on")
+        ov, nv = old["value"], new["value"]
+        a, b = ov.try_cast("double"), nv.try_cast("double")
+        larger = F.when(new["kind"] == "number", a.isNull() | b.isNull() | (b > a)).otherwise(nv > ov)
+        mark = F.when(nv.isNotNull() & (ov.isNull() | larger), new).otherwise(old)
+        out += [mark[part].alias(f"last_{role}_{part}") for part in ("value", "kind")]
     return joined.select(*out)
 
 

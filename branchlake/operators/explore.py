@@ -71,11 +71,11 @@ def run_summary(log: DataFrame, limit: int = 50) -> DataFrame:
     )
 
 
-def run_detail(log: DataFrame, control: DataFrame, limit: int | None = None) -> DataFrame:
+def run_detail(log: DataFrame, control: DataFrame, limit: int | None = None, tie: tuple[str, ...] = ()) -> DataFrame:
     """All units of a run, or the first ``limit``, with their stored marks: failures first, then table, then branch. Branch ids may be text on one side and numbers on the other."""
     marks = control.select(F.col("table_name").alias("__t"), F.col("branch_id").cast("string").alias("__b"), F.col("status").alias("control_status"), "last_cdc_value", "last_date_value")
     j = log.join(marks, (F.col("table_name") == F.col("__t")) & (F.col("branch_id").cast("string") == F.col("__b")), "left").drop("__t", "__b")
-    j = j.orderBy(F.col("status") == "SUCCESS", F.coalesce("table_name", F.lit("")), F.col("branch_id").asc_nulls_last(), "pipeline_run_id")
+    j = j.orderBy(F.col("status") == "SUCCESS", F.coalesce("table_name", F.lit("")), F.col("branch_id").asc_nulls_last(), "pipeline_run_id", *tie)
     return j if limit is None else j.limit(limit)
 
 

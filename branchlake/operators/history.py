@@ -20,13 +20,12 @@ def _value_columns(df: DataFrame, keys: list[str]) -> list[str]:
 
 
 def diff_keys(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, change): updated, inserted or deleted; unchanged keys are left out. Only keys and hashes are shuffled."""
+    """(keys, change): updated, inserted or deleted; unchanged keys are left out. Only keys and hashes are shuffled. Keys are equal if their texts are, a null one included."""
     cols = sorted(set(_value_columns(old, keys)) & set(_value_columns(new, keys)))
-    a = old.select(*keys, row_hash(old, cols).alias("__a"))
-    b = new.select(*keys, row_hash(new, cols).alias("__b"))
-    j = a.join(b, keys, "full_outer")
-    change = F.when(F.col("__a").isNull(), F.lit("inserted")).when(F.col("__b").isNull(), F.lit("deleted")).when(F.col("__a") != F.col("__b"), F.lit("updated"))
-    return j.select(*keys, change.alias("change")).where("change IS NOT NULL")
+    a, b = (df.select(fingerprint(df, keys).alias("__k"), F.struct(*keys).alias(f"__{side}"), row_hash(df, cols).alias(f"__h{side}")) for df, side in ((old, "a"), (new, "b")))
+    j = a.join(b, "__k", "full_outer")
+    change = F.when(F.col("__ha").isNull(), F.lit("inserted")).when(F.col("__hb").isNull(), F.lit("deleted")).when(F.col("__ha") != F.col("__hb"), F.lit("updated"))
+    return j.select(*[F.coalesce(F.col("__a")[k], F.col("__b")[k]).alias(k) for k in keys], change.alias("change")).where("change IS NOT NULL")
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -36,16 +35,17 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def collect_changed(df: DataFrame, changed: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(changed.select(*keys), keys, "left_semi")
+    own = changed.select(fingerprint(changed, keys).alias("__k"))
+    return df.withColumn("__k", fingerprint(df, keys)).join(own, "__k", "left_semi").drop("__k")
 
 
 def changed_pairs(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Updated rows of both sides next to each other: keys, then old_<column> and new_<column>."""
-    changed = diff_keys(old, new, keys).where("change = 'updated'")
+    """Updated rows of both sides next to each other: keys, then old_<column> and new_<column>. One join of both sides by key text; equal hashes leave at once."""
     cols = sorted(set(_value_columns(old, keys)) & set(_value_columns(new, keys)))
-    a = collect_changed(old, changed, keys).select(*keys, *[F.col(c).alias(f"old_{c}") for c in cols])
-    b = collect_changed(new, changed, keys).select(*keys, *[F.col(c).alias(f"new_{c}") for c in cols])
-    return a.join(b, keys)
+    a, b = (
+        df.select(fingerprint(df, keys).alias("__k"), row_hash(df, cols).alias(f"__h{side}"), *(keys if side == "old" else []), *[F.col(c).alias(f"{side}_{c}") for c in cols]) for df, side in ((old, "old"), (new, "new"))
+    )
+    return a.join(b, "__k").where("__hold <> __hnew").drop("__k", "__hold", "__hnew")
 
 
 def _differs(old: DataFrame, new: DataFrame, c: str) -> Column:
@@ -94,9 +94,5 @@ def diff_summary(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return rows
 
 
-def key_text(df: DataFrame, keys: list[str]) -> Column:
-    return fingerprint(df, keys)
-
-
 def write_changes_csv(changes: DataFrame, path: str) -> None:
     changes.write.mode("overwrite").option("header", True).csv(path)

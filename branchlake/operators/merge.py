@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from branchlake.defs import HASH, INSERTED, TableDef, normal
+from branchlake.defs import HASH, INSERTED, TableDef
 from branchlake.functions.schema import cast_to, fill_void, unify_branches, widen
 
 STRATEGIES = ("upsert", "insert-only")
@@ -65,6 +65,7 @@ def carry_forward(delta: DataFrame, existing: DataFrame, keys: list[str]) -> Dat
 
 def merge_with_history(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     keys = merge_keys(target, delta, keys)
+    check_unique(delta, keys)
     return merge_upsert(target, carry_forward(delta, target, keys), keys)
 
 
@@ -83,7 +84,11 @@ def changed_rows(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFr
 
 
 def dedupe_delta(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The first row per key in an explicit order."""
+    """The first row per key in an explicit order of columns or expressions; a descending one is given as F.desc(column). Rows are picked on the map side already if the order ascends."""
+    if all(isinstance(o, str) for o in order):
+        # nulls come first, as in an ascending sort; the whole row decides what the order leaves open
+        rank = F.struct(*order, F.struct(*df.columns).alias("__row"))
+        return df.groupBy(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)]).agg(F.min(rank).alias("__first")).select("__first.__row.*")
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 
@@ -140,7 +145,3 @@ def sample_delta(df: DataFrame, keys: list[str], n: int, fraction: float, seed:
 def collision_check(df: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct keys against distinct hashes."""
     return df.agg(F.count_distinct(F.struct(*keys)).alias("distinct_keys"), F.count_distinct(HASH).alias("distinct_hashes"))
-
-
-def lake_columns(df: DataFrame) -> DataFrame:
-    return df.toDF(*map(normal, df.columns))

@@ -38,9 +38,7 @@ def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, rows, distinct_values, nulls, density, low, high) in one pass."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(columns):
-        text = F.col(c).cast("string")
         aggs += [F.count_distinct(c).alias(f"d{i}"), F.count_if(F.col(c).isNull()).alias(f"n{i}"), F.min(c).cast("string").alias(f"l{i}"), F.max(c).cast("string").alias(f"h{i}")]
-        del text
     one = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("distinct_values"), F.col(f"n{i}").alias("nulls"), F.col(f"l{i}").alias("low"), F.col(f"h{i}").alias("high")) for i, c in enumerate(columns)])
     out = one.select("rows", F.explode(rows).alias("x")).select("x.column", "rows", "x.distinct_values", "x.nulls", "x.low", "x.high")

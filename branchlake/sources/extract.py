@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from branchlake.defs import BRANCH, DERIVED_KEY, HELPER_CDC, HELPER_DATE, INJECTED, INSERTED, STAMPS, UPDATED, VERSION, VERSION_DATE, HelperJoin, TableDef
+from branchlake.defs import BRANCH, DERIVED_KEY, HELPER_CDC, HELPER_DATE, INJECTED, INSERTED, UPDATED, VERSION, VERSION_DATE, HelperJoin, TableDef
 from branchlake.functions.schema import literal
 
 FETCH = 50_000
@@ -153,7 +153,3 @@ def capture_watermarks(df: DataFrame, tdef: TableDef, by: str = "branch_id") ->
         else:
             out += [F.lit(None).cast("string").alias(f"{role}_value"), F.lit(None).cast("string").alias(f"{role}_kind")]
     return df.groupBy(by).agg(*out)
-
-
-def is_stamp(name: str) -> bool:
-    return name.lower() in {s.lower() for s in STAMPS}
