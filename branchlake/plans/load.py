@@ -1,4 +1,8 @@
-"""One table's load from extracts to lake, marks and run log."""
+"""One table's load from extracts to lake, marks and run log.
+
+Source rows are read once: they are staged first, and everything after that (emptiness, marks, the merge, its counts) comes from the staged rows. So a mark never speaks of a row that
+the load has not seen, however the source moves on meanwhile.
+"""
 
 from __future__ import annotations
 
@@ -7,13 +11,16 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from branchlake.defs import BRANCH, INSERTED, UPDATED, TableDef, normal
+from branchlake.defs import BRANCH, HELPER_CDC, HELPER_DATE, INSERTED, UPDATED, TableDef, normal
 from branchlake.functions.keys import stabilize_keys, with_merge_hash
-from branchlake.functions.schema import normalize_columns, require_keys, schema_diff, strip_reserved, unify_branches, unify_schemas, widen_to_destination
+from branchlake.functions.schema import cast_to, normalize_columns, require_keys, schema_diff, strip_reserved, unify_branches, unify_schemas, widen_to_destination
+from branchlake.operators.control import advance, append_log, control_rows, log_rows, upsert_control
 from branchlake.operators.merge import choose_disposition
-from branchlake.sources.extract import capture_watermarks, extract, inject_columns, with_derived_key
+from branchlake.sources.extract import capture_watermarks, extract, helper_join, inject_columns, stage, with_derived_key
 from branchlake.sources.lake import Lake
+from branchlake.sources.scratch import fresh
 
 
 @dataclass
@@ -29,8 +36,10 @@ class LoadResult:
 
 def load_table(
     lake: Lake, tdef: TableDef, branches: dict[int, DataFrame | None], mode: str, now: datetime, configured: int, run_id: str = "", marks: dict[int, tuple[str | None, str | None]] | None = None,
+    parents: dict[int, DataFrame] | None = None,
 ) -> LoadResult:
-    """``branches``: source rows by branch id, None for one that could not be read. ``marks``: (change, date) high-water marks by branch."""
+    """``branches``: source rows by branch id, None for one that could not be read. ``marks``: (change, date) high-water marks by branch. ``parents``: the helper's table by branch, for a
+    table that borrows its change columns; rows that bring these columns already need none."""
     good = {b: d for b, d in branches.items() if d is not None}
     failed = sorted(set(branches) - set(good))
     disposition = choose_disposition(tdef, mode, len(good), len(branches), configured)
@@ -38,12 +47,14 @@ def load_table(
         return LoadResult(tdef.lake_name, disposition, "SKIPPED", 0, failed=failed)
     parts = {}
     for b, d in good.items():
+        if tdef.helper and not {HELPER_CDC, HELPER_DATE} & set(d.columns):
+            d = helper_join(d, parents[b], tdef.helper)
         cdc, date = (marks or {}).get(b, (None, None))
         taken = with_derived_key(extract(d, tdef, mode, cdc, date), tdef)
         parts[b] = inject_columns(stabilize_keys(taken, [k for k in tdef.keys if k in taken.columns]), b, tdef, now, now)
     unified = unify_schemas([p.schema for p in parts.values()])
     drift = {b: d for b, p in parts.items() if any((d := schema_diff(p.schema, unified)).values())}
-    whole = unify_branches(list(parts.values()))
+    whole = stage(unify_branches(list(parts.values())), fresh(lake.spark, "staged"))
     captured = capture_watermarks(whole, tdef, BRANCH)
     rows = normalize_columns(strip_reserved(whole)).withColumnsRenamed({normal(BRANCH): "branch_id", normal(INSERTED): "insert_at", normal(UPDATED): "recorded_updated_at"})
     keys = [*[normal(k) for k in tdef.keys], "branch_id"]
@@ -63,3 +74,52 @@ def load_table(
         commit = lake.replace(tdef.lake_name, rows, run_id, now)
     added = lake.commits(tdef.lake_name).where(F.col("commit_id") == commit).agg(F.sum("added_records").alias("n")).first()["n"]
     return LoadResult(tdef.lake_name, disposition, "PARTIAL" if failed else "SUCCESS", added, captured, drift, failed)
+
+
+CONTROL, LOG = "etl_control", "etl_run_log"
+_CONTROL = "table_name string, branch_id bigint, load_mode string, status string, row_count bigint, last_cdc_value string, last_cdc_kind string, last_date_value string, last_date_kind string"
+_LOG = "pipeline_run_id string, table_name string, branch_id bigint, row_count bigint, status string, write_disposition string, load_status string, schema_discrepancy string, error_details string, recorded_at timestamp_ntz"
+_MARKS = [f"last_{role}_{part}" for role in ("cdc", "date") for part in ("value", "kind")]
+
+
+def stored(lake: Lake, table: str, schema: str) -> DataFrame:
+    return cast_to(lake.read(table), StructType.fromDDL(schema)) if table in lake.tables() else lake.spark.createDataFrame([], schema)
+
+
+def run_table(
+    lake: Lake, tdef: TableDef, branches: dict[int, DataFrame | None], mode: str, now: datetime, configured: int, run_id: str, parents: dict[int, DataFrame] | None = None,
+) -> LoadResult:
+    """A load that records itself: it starts from the marks in the lake's control table, and afterwards advances those of the branches that were loaded and writes a log row per branch.
+
+    A load that fails is recorded as such, without advancing anything, and its result says so; the next run takes the same rows again.
+    """
+    spark, name = lake.spark, tdef.lake_name
+    control = stored(lake, CONTROL, _CONTROL)
+    marks = {r["branch_id"]: (r["last_cdc_value"], r["last_date_value"]) for r in control.where(F.col("table_name") == name).collect()}  # one row per branch
+    error = None
+    try:
+        done = load_table(lake, tdef, branches, mode, now, configured, run_id, marks, parents)
+    except Exception as e:  # one table must not end the others
+        error = str(e)[:500]
+        done = LoadResult(name, "none", "FAILED", 0, failed=sorted(b for b, d in branches.items() if d is None))
+    log = lake.commits(name).where(F.col("run_id") == run_id) if name in lake.tables() else lake.spark.createDataFrame([], "branch_id bigint, added_records bigint")
+    added = {r["branch_id"]: r["n"] for r in log.groupBy("branch_id").agg(F.sum("added_records").alias("n")).collect()}
+    units = spark.createDataFrame(
+        [
+            (
+                name, b, tdef.category, mode, run_id, done.disposition, "FAILED" if d is None else "SUCCESS", "FAILED" if error else "LOADED", 0 if d is None or error else added.get(b, 0),
+                done.drift.get(b, {}).get("missing_in_branch", []), done.drift.get(b, {}).get("extra_in_branch", []), error or ("not read" if d is None else None),
+            )
+            for b, d in sorted(branches.items())
+        ],
+        "table_name string, branch_id bigint, category string, load_mode string, pipeline_run_id string, disposition string, status string, load_status string, row_count bigint, missing array<string>, extra array<string>, error_details string",
+    )
+    captured = done.marks if done.marks is not None else spark.createDataFrame([], f"{BRANCH} bigint, cdc_value string, cdc_kind string, date_value string, date_kind string")
+    captured = captured.select(F.col(BRANCH).alias("branch_id"), *[F.col(m.removeprefix("last_")).alias(m) for m in _MARKS])
+    rows = control_rows(units.join(captured, "branch_id", "left"))
+    moved = advance(control.select("table_name", "branch_id", *_MARKS), rows.select("table_name", "branch_id", *_MARKS)).join(rows.drop(*_MARKS), ["table_name", "branch_id"])
+    # written at once: what follows replaces the tables that these rows are read from
+    for table, new in ((CONTROL, upsert_control(control, moved)), (LOG, append_log(spark.createDataFrame([], _LOG), log_rows(units).withColumn("recorded_at", F.lit(str(now)).cast("timestamp_ntz"))))):
+        (lake.replace if table == CONTROL else lake.append)(table, stage(new, fresh(spark, table)), run_id, now)
+    done.status = "FAILED" if error else done.status
+    return done

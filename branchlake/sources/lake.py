@@ -1,24 +1,30 @@
 """Lake tables: Parquet in commit folders plus a commit log.
 
 Data of a commit lie in ``<table>/data/commit_id=N/branch_id=B/``. The log, ``<table>/_commits/``, has a row per branch of each snapshot:
-(commit_id, committed_at, operation, run_id, branch_id, path, added_records, total_records). A branch that a commit leaves alone points at its
-older folders, so a merge rewrites the delta's branches only. Data are written before the log row; one writer per table.
+(commit_id, committed_at, operation, run_id, branch_id, path, added_records, total_records, schema). A branch that a commit leaves alone points at its
+older folders, so a merge rewrites the delta's branches only. Each folder keeps the schema that it was written with; a read casts all of them to the unified one, so a table survives wider
+types and columns that come late. A snapshot without rows has one log row without a path. Data are written before the log row; one writer per table.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from branchlake.functions.schema import normalize_columns
-from branchlake.operators.merge import carry_forward, merge_keys, merge_upsert
+from branchlake.functions.schema import cast_to, fill_void, normalize_columns, unify_schemas
+from branchlake.operators.merge import carry_forward, check_unique, merge_keys, merge_upsert
 
 COMMITS = (
     "commit_id bigint, committed_at timestamp_ntz, operation string, run_id string, branch_id bigint, path string, "
     "added_records bigint, total_records bigint, schema string"
 )
+#: folder of rows without a branch
+NO_BRANCH = "__HIVE_DEFAULT_PARTITION__"
 PROTECTED = frozenset({"etl_control", "etl_run_log", "etl_dq_results", "control_state"})
 
 
@@ -70,62 +76,73 @@ class Lake:
     def _next(self, table: str) -> int:
         return (self.commits(table).agg(F.max("commit_id").alias("c")).first()["c"] or 0) + 1
 
-    def _write(self, table: str, commit: int, df: DataFrame) -> str:
-        path = f"{self.root}/{table}/data/commit_id={commit}"
-        df.write.partitionBy("branch_id").parquet(path)
-        return path
-
-    def _log(self, table: str, commit: int, operation: str, run_id: str, at: datetime, fresh: str, schema: str, kept: list, added: dict[int, int] | None = None) -> int:
-        written = self._read_paths([fresh], schema)
-        rows = []
-        for r in written.groupBy("branch_id").agg(F.count(F.lit(1)).alias("n")).collect():
-            n = r["n"]
-            rows.append((commit, at, operation, run_id, r["branch_id"], f"{fresh}/branch_id={r['branch_id']}", n if added is None else added.get(r["branch_id"], 0), n, schema))
-        rows += [(commit, at, operation, run_id, k["branch_id"], k["path"], 0, k["total_records"], schema) for k in kept]
+    def _commit(self, table: str, commit: int, operation: str, run_id: str, at: datetime | None, df: DataFrame, kept: list, added: dict | None = None) -> int:
+        """Write the rows, then the log: a row per written branch and one per kept folder. ``added``: counts by branch where they are not those of the written rows."""
+        schema, fresh = _ddl(df), f"{self.root}/{table}/data/commit_id={commit}"
+        df.write.partitionBy("branch_id").parquet(fresh)
+        at, rows = at or datetime.now(), []
+        counts = self._read_paths([fresh], schema).groupBy("branch_id").count().collect() if self._has_files(fresh) else []  # one row per branch
+        for r in counts:
+            b, n = r["branch_id"], r["count"]
+            rows.append((commit, at, operation, run_id, b, f"{fresh}/branch_id={NO_BRANCH if b is None else b}", n if added is None else added.get(b, 0), n, schema))
+        rows += [(commit, at, operation, run_id, k["branch_id"], k["path"], 0, k["total_records"], k["schema"]) for k in kept if k["path"]]
+        rows = rows or [(commit, at, operation, run_id, None, None, 0, 0, schema)]
         self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}/_commits")
         return commit
 
+    def _has_files(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return any(f.isDirectory() for f in fs.listStatus(p))
+
     def _read_paths(self, paths: list[str], schema: str) -> DataFrame:
         base = paths[0].split("/commit_id=")[0]
         df = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
         return df.drop("commit_id").withColumn("branch_id", F.col("branch_id").cast("bigint"))
 
     # ---- reads
-    def read(self, table: str, snapshot_id: int | None = None, branches: list[int] | None = None, columns: list[str] | None = None) -> DataFrame:
+    def _read_rows(self, rows: list, chosen: list) -> DataFrame:
+        """The folders of ``chosen`` log rows under the unified schema of ``rows``, the snapshot's; one scan for each schema."""
+        kinds = list(dict.fromkeys(r["schema"] for r in sorted(rows, key=lambda r: int((r["path"] or "commit_id=0").split("commit_id=")[1].split("/")[0]))))
+        unified = fill_void(unify_schemas([T.StructType.fromDDL(k) for k in kinds]))
+        by_schema = {k: [r["path"] for r in chosen if r["path"] and r["schema"] == k] for k in kinds}
+        parts = [cast_to(self._read_paths(paths, k), unified) for k, paths in by_schema.items() if paths]
+        return reduce(DataFrame.unionAll, parts) if parts else self.spark.createDataFrame([], unified)
+
+    def read(self, table: str, snapshot_id: int | None = None, branches: list[int | None] | None = None, columns: list[str] | None = None) -> DataFrame:
         """Current or given snapshot; branches prune folders, columns prune the scan."""
         rows = self._current(table, snapshot_id)
         if not rows:
             raise ValueError(f"no snapshot of {table}")
-        paths = [r["path"] for r in rows if branches is None or r["branch_id"] in branches]
-        schema = rows[0]["schema"]
-        df = self._read_paths(paths, schema) if paths else self.spark.createDataFrame([], schema)
+        df = self._read_rows(rows, [r for r in rows if branches is None or r["branch_id"] in branches])
         return df.select(*columns) if columns else df
 
     # ---- writes
     def replace(self, table: str, df: DataFrame, run_id: str = "", at: datetime | None = None) -> int:
-        df, commit = normalize_columns(df), self._next(table)
-        return self._log(table, commit, "replace", run_id, at or datetime.now(), self._write(table, commit, df), _ddl(df), [])
+        return self._commit(table, self._next(table), "replace", run_id, at, normalize_columns(df), [])
 
     def append(self, table: str, df: DataFrame, run_id: str = "", at: datetime | None = None) -> int:
-        df, commit, kept = normalize_columns(df), self._next(table), self._current(table)
-        return self._log(table, commit, "append", run_id, at or datetime.now(), self._write(table, commit, df), _ddl(df), kept)
+        return self._commit(table, self._next(table), "append", run_id, at, normalize_columns(df), self._current(table))
 
     def merge(self, table: str, delta: DataFrame, keys: list[str], run_id: str = "", at: datetime | None = None, keep_history: bool = True) -> int:
-        """One commit however large the delta is; branches the delta does not touch keep their folders."""
-        delta = normalize_columns(delta)
-        rows = self._current(table)
+        """One commit however large the delta is; branches the delta does not touch keep their folders. The delta is written once, checked for repeated keys and counted by branch there."""
+        delta, rows = normalize_columns(delta), self._current(table)
         if not rows:
+            check_unique(delta, merge_keys(delta, delta, keys))
             return self.replace(table, delta, run_id, at)
-        touched = {r["branch_id"] for r in delta.select("branch_id").distinct().collect()}
-        kept, commit = [r for r in rows if r["branch_id"] not in touched], self._next(table)
-        target = self.read(table, branches=sorted(touched))
-        on = merge_keys(target, delta, keys)
-        if keep_history and "insert_at" in target.columns and "insert_at" in delta.columns:
-            before = target.select(*on, "insert_at")
-            delta = _carry(delta, before, on)
-        out = merge_upsert(target, delta, on)
-        added = {r["branch_id"]: r["n"] for r in delta.groupBy("branch_id").agg(F.count(F.lit(1)).alias("n")).collect()}
-        return self._log(table, commit, "merge", run_id, at or datetime.now(), self._write(table, commit, out), _ddl(out), kept, added)
+        commit = self._next(table)
+        staged = f"{self.root}/{table}/_staged/commit_id={commit}"
+        delta.write.mode("overwrite").parquet(staged)
+        delta = self.spark.read.schema(delta.schema).parquet(staged)
+        try:
+            added = {r["branch_id"]: r["count"] for r in delta.groupBy("branch_id").count().collect()}  # one row per branch
+            target = self._read_rows(rows, [r for r in rows if r["branch_id"] in added])
+            on = merge_keys(target, delta, keys)
+            check_unique(delta, on)
+            if keep_history and "insert_at" in target.columns and "insert_at" in delta.columns:
+                delta = carry_forward(delta, target, on)
+            return self._commit(table, commit, "merge", run_id, at, merge_upsert(target, delta, on), [r for r in rows if r["branch_id"] not in added], added)
+        finally:
+            self.delete(staged)
 
     # ---- maintenance
     def drop_table(self, table: str, system: bool = False) -> None:
@@ -139,20 +156,26 @@ class Lake:
             self.drop_table(t, system)
         return gone
 
+    def seen(self, table: str, run_id: str) -> bool:
+        """Whether a run has committed to the table, also if its snapshot has gone since."""
+        path = f"{self.root}/{table}/_runs"
+        gone = self.spark.read.schema("run_id string").parquet(path) if self.exists(path) else self.spark.createDataFrame([], "run_id string")
+        return not self.commits(table).select("run_id").unionAll(gone).where(F.col("run_id") == run_id).isEmpty()
+
     def keep_snapshots(self, table: str, kept: DataFrame) -> int:
-        """Rewrite the commit log with the snapshots in ``kept`` (commit_id); returns how many went. Data go with ``sweep``."""
-        log = self.commits(table)
-        ids = {r["commit_id"] for r in kept.select("commit_id").distinct().collect()}  # snapshots, not rows
-        rows = log.where(F.col("commit_id").isin(*ids)).collect() if ids else []
-        before = log.select("commit_id").distinct().count()
+        """Rewrite the commit log, in one file, with the snapshots in ``kept`` (commit_id); returns how many went. Their run ids are remembered. Data go with ``sweep``."""
+        log, ids = self.commits(table), kept.select("commit_id").distinct()
+        gone = log.join(ids, "commit_id", "left_anti")
+        went = gone.select("commit_id").distinct().count()
+        gone.select("run_id").distinct().coalesce(1).write.mode("append").parquet(f"{self.root}/{table}/_runs")
         new, old = f"{self.root}/{table}/_commits_new", f"{self.root}/{table}/_commits"
         self.delete(new)
-        self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.parquet(new)
+        log.join(ids, "commit_id", "left_semi").coalesce(1).write.parquet(new)
         self.delete(old)
         fs, p = self._fs(new)
         fs.rename(p, self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old))
         self.spark.catalog.refreshByPath(old)
-        return before - len(ids)
+        return went
 
     def listing(self, table: str) -> DataFrame:
         """(path, folder, bytes) of the data files on disk."""
@@ -175,7 +198,9 @@ class Lake:
         """Rows, files, bytes, snapshots and last commit of each table, data tables first."""
         parts = []
         for t in self.tables():
-            size = self.listing(t).join(self.commits(t).where(F.col("commit_id") == self._next(t) - 1).select(F.regexp_extract("path", r"(commit_id=\d+/branch_id=[^/]+)$", 1).alias("folder")).distinct(), "folder", "left_semi")
+            log = self.commits(t)
+            now = log.join(log.agg(F.max("commit_id").alias("commit_id")), "commit_id").select(F.regexp_extract("path", r"(commit_id=\d+/branch_id=[^/]+)$", 1).alias("folder")).distinct()
+            size = self.listing(t).join(now, "folder", "left_semi")
             head = self.snapshots(t).agg(F.count(F.lit(1)).alias("snapshots"), F.max("committed_at").alias("updated"), F.max_by("total_records", "commit_id").alias("rows"))
             disk = size.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
             parts.append(head.crossJoin(disk).select(F.lit(t).alias("table"), F.lit(t in PROTECTED).alias("is_system"), "rows", "files", "bytes", "snapshots", "updated"))
@@ -192,11 +217,6 @@ class Lake:
         return {"fields": [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields], "partitions": ["branch_id"], "history": self.snapshots(table)}
 
 
-def _carry(delta: DataFrame, before: DataFrame, keys: list[str]) -> DataFrame:
-    renamed = delta.withColumnRenamed("insert_at", "insert_at")
-    return carry_forward(renamed, before, keys)
-
-
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -15,12 +16,14 @@ from branchlake.sources.lake import Lake
 def merge_stream(changes: DataFrame, lake: Lake, table: str, keys: list[str], order: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Upsert a stream of changed rows (with ``branch_id``). Of several changes of a key in a batch the last by ``order`` counts.
 
-    The batch id is the commit's run id, so a batch that is replayed after a failure is skipped.
+    The commit's run id holds the stream's own id, which Spark keeps in the checkpoint, and the batch's number. So a batch that is replayed after a failure is skipped, also after
+    its snapshot has expired, and a batch of another stream or of a new checkpoint is not.
     """
 
-    def one(batch: DataFrame, batch_id: int) -> None:
-        run = f"stream-{batch_id}"
-        if batch.isEmpty() or not lake.commits(table).where(F.col("run_id") == run).isEmpty():
+    def one(batch: DataFrame, number: int) -> None:
+        stream = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        run = f"stream-{stream}-{number}"
+        if batch.isEmpty() or lake.seen(table, run):
             return
         lake.merge(table, dedupe_delta(batch, keys, [F.desc(order)]), keys, run, datetime.now())
 
