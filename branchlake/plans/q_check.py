@@ -84,7 +84,7 @@ def q56(spark, d):
 
 
 _RESULT = _CHECKED + """, results AS (SELECT '2026-01-02 03:04:05' AS check_time, 'r1' AS pipeline_run_id, 'orders' AS table_name, 'ORDERS' AS source_table, branch_id, 'o_orderdate' AS date_column,
-'1990-01-01 00:00:00' AS window_start, '(max)' AS window_end, 'no last-run mark; upper bound is open' AS window_note, source_rows AS source_row_count, lake_rows AS lake_row_count, count_delta AS row_count_delta,
+'1990-01-01 00:00:00' AS window_start, '(max)' AS window_end, 'no-mark/open' AS window_note, source_rows AS source_row_count, lake_rows AS lake_row_count, count_delta AS row_count_delta,
 CAST(6 AS BIGINT) AS hash_columns, source_hashed AS source_hashed_rows, lake_hashed AS lake_hashed_rows, matched AS hash_matched, only_source AS hash_only_in_source, only_lake AS hash_only_in_lake, mismatch AS hash_mismatch,
 total_delta AS hash_total_delta, delta_pct AS hash_delta_pct, '' AS columns_only_in_source, '' AS columns_only_in_lake, status, NULL AS error_details FROM checked)"""
 
@@ -126,6 +126,30 @@ def s12(spark, d):
     return spark.read.csv(path, header=True).select("branch_id", "status")
 
 
+@query("q10_named_keys", _CHECKED + " SELECT branch_id, hash_matched, status FROM (SELECT branch_id, matched AS hash_matched, status FROM checked)")
+def q10n(spark, d):
+    """Keys and columns are named as the source names them, in capitals and with signs."""
+    src, lake = _both(spark, d)
+    tdef = TableDef("ORDERS", ("O-OrderKey",), "transactions")
+    return R.reconcile(src.withColumnRenamed("o_orderkey", "O-OrderKey"), lake.withColumnRenamed("o_orderkey", "O_ORDERKEY"), tdef, R.Window_(None), NOW, "r1").select("branch_id", "hash_matched", "status")
+
+
+@query("q9_isolated_failure", "SELECT 'orders' AS table_name, 'ERROR' AS status, count(*) > 0 AS told FROM orders")
+def q9(spark, d):
+    """A row that can't be read ends the check of its table with an ERROR row, not the caller."""
+    src, lake = _both(spark, d)
+    broken = src.withColumn("o_custkey", F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("unreadable")).cast("bigint")).otherwise(F.col("o_custkey")))
+    return R.reconcile(broken, lake, ORDERS, R.Window_(None), NOW, "r1").select("table_name", "status", F.col("error_details").contains("unreadable").alias("told"))
+
+
+@query("j3_null_keys", f"WITH {SRC}, {DRIFTED}, a AS (SELECT o_custkey % 50 AS c, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey END AS k, max(o_totalprice) AS p FROM src GROUP BY 1, 2), b AS (SELECT o_custkey % 50 AS c, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey END AS k, max(o_totalprice) AS p FROM lake GROUP BY 1, 2) SELECT * FROM (SELECT coalesce(a.c, b.c) AS c, coalesce(a.k, b.k) AS k, CASE WHEN a.c IS NULL THEN 'inserted' WHEN b.c IS NULL THEN 'deleted' WHEN a.p <> b.p THEN 'updated' END AS change FROM a FULL JOIN b ON a.c = b.c AND a.k IS NOT DISTINCT FROM b.k) WHERE change IS NOT NULL")
+def j3n(spark, d):
+    """A null in a key is a value like others: it meets the null of the other side."""
+    k = F.when(F.col("o_orderkey") % 13 != 0, F.col("o_orderkey"))
+    old, new = (df.groupBy((F.col("o_custkey") % 50).alias("c"), k.alias("k")).agg(F.max("o_totalprice").alias("p")) for df in _both(spark, d))
+    return H.diff_keys(old, new, ["c", "k"])
+
+
 # ---- history
 
 _CHANGES = f"WITH {SRC}, {DRIFTED}, ch AS (SELECT coalesce(src.o_orderkey, lake.o_orderkey) AS o_orderkey, CASE WHEN src.o_orderkey IS NULL THEN 'inserted' WHEN lake.o_orderkey IS NULL THEN 'deleted' WHEN src.o_totalprice <> lake.o_totalprice THEN 'updated' END AS change, src.o_totalprice AS o, lake.o_totalprice AS n FROM src FULL JOIN lake USING (o_orderkey))"
@@ -207,7 +231,7 @@ def a18(spark, d):
 _DAY = "2024-01-15"
 
 
-@query("w1_pick_snapshots", f"WITH {COMMITS} SELECT arg_max(commit_id, committed_at) FILTER (CAST(committed_at AS DATE) = DATE '{_DAY}') AS baseline, arg_max(commit_id, committed_at) AS latest FROM commits")
+@query("w1_pick_snapshots", f"WITH {COMMITS} SELECT (SELECT commit_id FROM commits WHERE CAST(committed_at AS DATE) = DATE '{_DAY}' ORDER BY committed_at DESC, commit_id DESC LIMIT 1) AS baseline, commit_id AS latest FROM newest")
 def w1(spark, d):
     return LK.pick_snapshots(snapshots(spark, d), _DAY)
 
@@ -217,13 +241,13 @@ def d6(spark, d):
     return LK.retain(snapshots(spark, d), 7, 3, "2024-01-31 00:00:00").select("commit_id", "keep")
 
 
-@query("d7_squash", f"WITH {COMMITS} SELECT commit_id FROM commits WHERE commit_id < 10 OR commit_id = (SELECT arg_max(commit_id, committed_at) FROM commits)")
+@query("d7_squash", f"WITH {COMMITS} SELECT commit_id FROM commits WHERE commit_id < 10 OR commit_id IN (SELECT commit_id FROM newest)")
 def d7(spark, d):
     log = snapshots(spark, d)
     return LK.squash(log, log.where("commit_id < 10")).select("commit_id")
 
 
-@query("d8_expire_to_latest", f"WITH {COMMITS} SELECT arg_max(commit_id, committed_at) AS commit_id FROM commits")
+@query("d8_expire_to_latest", f"WITH {COMMITS} SELECT commit_id FROM newest")
 def d8(spark, d):
     return LK.expire_to_latest(snapshots(spark, d)).select("commit_id")
 
@@ -248,26 +272,27 @@ def d11(spark, d):
     return LK.at_version(_versions(spark, d).read("copies"), "2026-01-02 00:00:00").select("o_orderkey", "o_totalprice")
 
 
-@query("d9_orphan_sweep")
+@query("d9_orphan_sweep", f"WITH {SRC}, {DRIFTED} SELECT count(*) AS rows, CAST(1 AS INTEGER) AS expired, true AS swept FROM lake")
 def d9(spark, d):
     lk = LK.Lake(spark, fresh(spark, "lake"))
     for v, df in enumerate(_both(spark, d)):
         lk.replace("orders", df, f"r{v}", NOW)
     expired = lk.keep_snapshots("orders", LK.expire_to_latest(lk.snapshots("orders")))
     files, size = lk.sweep("orders")
-    return lk.read("orders").agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(expired).alias("expired"), F.lit(files).alias("files_gone"), F.lit(size).alias("bytes_gone"))
+    return lk.read("orders").agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(expired).alias("expired"), F.lit(files > 0 and size > 0).alias("swept"))
 
 
-@query("x1_list_tables")
+@query("x1_list_tables", f"WITH {SRC}, {DRIFTED} SELECT 'copies' AS \"table\", false AS is_system, (SELECT count(*) FROM src) + (SELECT count(*) FROM lake) AS rows, true AS stored, CAST(2 AS BIGINT) AS snapshots, '2026-01-02 03:04:05' AS updated, 'snapshots' AS category UNION ALL SELECT 'orders', false, (SELECT count(*) FROM src), true, 1, '2026-01-02 03:04:05', 'transactions'")
 def x1(spark, d):
     lk = _versions(spark, d)
     lk.replace("orders", source_orders(spark, d), "r1", NOW)
-    return lk.list_tables(spark.createDataFrame([("orders", "transactions"), ("copies", "snapshots")], "table string, category string"))
+    out = lk.list_tables(spark.createDataFrame([("orders", "transactions"), ("copies", "snapshots")], "table string, category string"))
+    return out.select("table", "is_system", "rows", ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("stored"), "snapshots", F.date_format("updated", "yyyy-MM-dd HH:mm:ss").alias("updated"), "category")
 
 
-@query("x2_table_overview")
+@query("x2_table_overview", f"WITH {SRC}, {DRIFTED} SELECT CAST(1 AS BIGINT) AS commit_id, 'append' AS operation, 'r1' AS run_id, (SELECT count(*) FROM src) AS added_records, (SELECT count(*) FROM src) AS total_records, false AS is_current UNION ALL SELECT 2, 'append', 'r2', (SELECT count(*) FROM lake), (SELECT count(*) FROM src) + (SELECT count(*) FROM lake), true")
 def x2(spark, d):
-    return _versions(spark, d).table_overview("copies")["history"]
+    return _versions(spark, d).table_overview("copies")["history"].drop("committed_at")
 
 
 # ---- exploration
@@ -325,8 +350,7 @@ def j8(spark, d):
 
 @query("w5_run_detail_order", f"WITH {LOG} SELECT event_id FROM log ORDER BY status = 'SUCCESS', table_name, branch_id, pipeline_run_id, event_id LIMIT 1000")
 def w5(spark, d):
-    log = run_log(spark, d)
-    return log.orderBy(F.col("status") == "SUCCESS", "table_name", F.col("branch_id").asc_nulls_last(), "pipeline_run_id", "event_id").limit(1000).select("event_id")
+    return E.run_detail(run_log(spark, d), control(spark, d), 1000, ("event_id",)).select("event_id")
 
 
 @query("j9_recent_runs", f"WITH {LOG} SELECT event_id, pipeline_run_id FROM log WHERE pipeline_run_id IN (SELECT pipeline_run_id FROM log GROUP BY 1 ORDER BY max(start_time) DESC, 1 DESC LIMIT 3)")
@@ -456,11 +480,35 @@ def c9(spark, d):
     return L.parse_generic_log(table(spark, d, "events").select(line.alias("line"))).select("kind", "updated", "inserted", "detail")
 
 
-@query("c9_classify_log", "SELECT 'pipeline' AS log_kind")
+@query("c9_classify_log", "SELECT user_id AS log, CASE user_id % 4 WHEN 0 THEN 'dq' WHEN 1 THEN 'pipeline' WHEN 2 THEN 'snapshot' ELSE 'generic' END AS log_kind FROM events GROUP BY user_id")
 def c9k(spark, d):
+    """A log per user: the command in its header decides, whatever its lines look like; one without a command goes by its lines."""
+    e, kind = table(spark, d, "events"), F.col("user_id") % 4
     i = F.col("event_id").cast("string")
-    line = F.concat(F.lit("2026-01-01 00:00:00,000 | INFO | PROGRESS 0:00:"), F.lpad(i, 2, "0"), F.lit(" | extract | tables 1/2 | extract 1/2 | rows="), i)
-    return L.classify_log(table(spark, d, "events").select(line.alias("line")))
+    progress = F.concat(F.lit("2026-01-01 00:00:00,000 | INFO | PROGRESS 0:00:01 | extract | tables 1/2 | extract 1/2 | rows="), i)
+    body = e.select(F.col("user_id").alias("log"), F.when(kind == 3, F.concat(F.lit("DQ-UNIT a/b | x "), i)).otherwise(progress).alias("line"))
+    head = F.when(kind == 0, "# command : python run_dq --all").when(kind == 2, "# command : python snapshots.py").when(kind == 3, "# command : fresh start")
+    return L.classify_log(body.unionAll(e.where(kind != 1).select("user_id", head).distinct()), "log")
+
+
+@query("c7_progress_lines", "SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, 'progress' AS kind, event_id AS rows, event_id % 50 AS ok, CASE WHEN event_id % 2 = 0 THEN 3 ELSE 0 END AS fail, 'load orders' AS detail, '0:01:02' AS elapsed, event_id % 7 AS tables_done, CAST(9 AS BIGINT) AS tables_total, CAST(60 AS BIGINT) AS units_total, '1.5 GB' AS memory, '2.0 GB' AS memory_peak, '12' AS buffers FROM events")
+def c7p(spark, d):
+    e, n = table(spark, d, "events"), lambda c: c.cast("string")
+    i = F.col("event_id")
+    failed = F.when(i % 2 == 0, " 3 failed").otherwise("")
+    line = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(",123 | INFO | PROGRESS 0:01:02 | load orders | tables "), n(i % 7), F.lit("/9 | extract "), n(i % 50), F.lit("/60"), failed, F.lit(" | rows="), n(i), F.lit(" | rss=1.5 GB(peak 2.0 GB) arrow=12"))
+    got = L.parse_pipeline_log(e.select(line.alias("line")))
+    return got.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "kind", "rows", "ok", "fail", "detail", "elapsed", "tables_done", "tables_total", "units_total", "memory", "memory_peak", "buffers")
+
+
+@query("c8_scope_and_progress", "SELECT 'scope' AS kind, 'r' || event_id AS run, 'b1,b2' AS branches, CAST(4 AS BIGINT) AS tables, 'last week' AS detail, 'md5' AS hashed, NULL AS done, NULL AS total, NULL AS ok, NULL AS tolerated, NULL AS mismatched, NULL AS failed, NULL AS elapsed, NULL AS level FROM events WHERE event_id % 3 = 0 UNION ALL SELECT 'progress', NULL, NULL, NULL, (event_id % 9) || '/9', NULL, event_id % 9, 9, event_id % 5, 1, 2, event_id % 3, '0:00:07', NULL FROM events WHERE event_id % 3 = 1 UNION ALL SELECT 'issue', NULL, NULL, NULL, 'ERROR | lost ' || event_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'error' FROM events WHERE event_id % 3 = 2")
+def c8s(spark, d):
+    e, n, i = table(spark, d, "events"), lambda c: c.cast("string"), F.col("event_id")
+    scope = F.concat(F.lit("DQ run r"), n(i), F.lit(" | branches=['b1', 'b2'] | tables=4 | window=last week | hash=md5"))
+    progress = F.concat(F.lit("DQ-PROGRESS 0:00:07 | units "), n(i % 9), F.lit("/9 | ok "), n(i % 5), F.lit(" tol 1 mismatch 2 err "), n(i % 3))
+    line = F.when(i % 3 == 0, F.concat(F.lit("2026-01-01 00:00:00,000 | INFO | "), scope)).when(i % 3 == 1, F.concat(F.lit("2026-01-01 00:00:00,000 | INFO | "), progress)).otherwise(F.concat(F.lit("2026-01-01 00:00:00,000 | ERROR | lost "), n(i)))
+    got = L.parse_dq_log(e.select(line.alias("line")))
+    return got.select("kind", "run", F.concat_ws(",", F.when(F.size("branches") > 0, F.col("branches"))).alias("b"), "tables", "detail", "hashed", "done", "total", "ok", "tolerated", "mismatched", "failed", "elapsed", "level").withColumn("branches", F.nullif("b", F.lit(""))).drop("b")
 
 
 # ---- profiling and models

@@ -11,6 +11,7 @@ from branchlake.defs import HelperJoin, TableDef
 from branchlake.functions import keys as K
 from branchlake.functions import schema as S
 from branchlake.operators import merge as M
+from branchlake.plans.load import run_table
 from branchlake.plans.tables import DELTA, DRIFTED, SRC, drifted, orders_delta, query, source_orders, table
 from branchlake.sources import extract as X
 from branchlake.sources.lake import Lake
@@ -83,6 +84,46 @@ def s10(spark, d):
     return lake.read("orders").select(*COLS)
 
 
+@query("s10_widening_merge", f"WITH {SRC} SELECT o_orderkey, CASE WHEN branch_id IN (1, 2) AND o_orderkey % 50 = 0 THEN 'c' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey, branch_id FROM src")
+def s10w(spark, d):
+    """A merge whose column has become text, into two branches of seven: the other five keep their folders and read as text too."""
+    lake = _lake(spark, d)
+    some = source_orders(spark, d).where("branch_id IN (1, 2) AND o_orderkey % 50 = 0").select(*COLS).withColumn("o_custkey", F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
+    lake.merge("orders", some, ["o_orderkey", "branch_id"], "r2", NOW)
+    return lake.read("orders").select("o_orderkey", "o_custkey", "branch_id")
+
+
+@query("s9_append_without_column", f"WITH {SRC} SELECT o_orderkey, o_orderstatus, NULL AS note, branch_id FROM src UNION ALL SELECT o_orderkey + 30000000, NULL, 'late', branch_id FROM src WHERE branch_id = 3")
+def s9w(spark, d):
+    """Rows appended without a stored column, and with one of their own: both columns stay."""
+    lake = _lake(spark, d)
+    late = source_orders(spark, d).where("branch_id = 3").select((F.col("o_orderkey") + 30_000_000).alias("o_orderkey"), F.lit("late").alias("note"), "branch_id")
+    lake.append("orders", late, "r2", NOW)
+    return lake.read("orders").select("o_orderkey", "o_orderstatus", "note", "branch_id")
+
+
+@query("s8_empty_replace", f"WITH {SRC} SELECT count(*) AS before, CAST(0 AS BIGINT) AS now, CAST(2 AS BIGINT) AS snapshots FROM src")
+def s8e(spark, d):
+    """Replacing by no rows leaves an empty table, and its former snapshot as it was."""
+    lake = _lake(spark, d)
+    lake.replace("orders", source_orders(spark, d).select(*COLS).where("o_orderkey < 0"), "r2", NOW)
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    return count(lake.read("orders", 1), "before").crossJoin(count(lake.read("orders"), "now")).crossJoin(count(lake.snapshots("orders"), "snapshots"))  # single rows
+
+
+@query("m8_recorded_load", f"WITH {SRC}, h AS (SELECT max(o_orderkey) // 2 AS half FROM src), r AS (SELECT 'r1' AS pipeline_run_id, branch_id, count(*) AS row_count FROM src, h WHERE o_orderkey <= half GROUP BY ALL UNION ALL SELECT 'r2', branch_id, count(*) FROM src, h WHERE o_orderkey > half GROUP BY ALL) SELECT pipeline_run_id, branch_id, row_count, CASE pipeline_run_id WHEN 'r1' THEN 'replace' ELSE 'merge' END AS write_disposition, (SELECT CAST(max(o_orderkey) AS VARCHAR) FROM src s WHERE s.branch_id = r.branch_id) AS mark, (SELECT count(*) FROM src s WHERE s.branch_id = r.branch_id) AS stored FROM r")
+def m8(spark, d):
+    """Two runs that record themselves: the second starts from the marks of the first and takes exactly the rows that came after it."""
+    lake, src = Lake(spark, fresh(spark, "lake")), source_orders(spark, d)
+    tdef = TableDef("APP.ORDERS", ("o_orderkey",), "transactions", cdc_column="o_orderkey")
+    half = src.agg(F.max("o_orderkey").alias("m")).first()["m"] // 2
+    for run, mode, seen in (("r1", "INITIAL", src.where(F.col("o_orderkey") <= half)), ("r2", "INCREMENTAL", src)):
+        run_table(lake, tdef, {b: seen.where(F.col("branch_id") == b).drop("branch_id") for b in range(7)}, mode, NOW, 7, run)
+    marks = lake.read("etl_control").select("branch_id", F.col("last_cdc_value").alias("mark"))
+    rows = lake.read("orders").groupBy("branch_id").agg(F.count(F.lit(1)).alias("stored"))
+    return lake.read("etl_run_log").select("pipeline_run_id", "branch_id", "row_count", "write_disposition").join(marks, "branch_id").join(rows, "branch_id")
+
+
 @query("m9_partition_scoping", "SELECT CAST(2 AS BIGINT) AS commits, count(*) FILTER (b NOT IN (1, 2)) AS branches_kept, count(*) FILTER (b IN (1, 2)) AS branches_rewritten FROM (SELECT DISTINCT o_orderkey % 7 AS b FROM orders)")
 def m9(spark, d):
     lake = _lake(spark, d)
@@ -211,8 +252,8 @@ def u1(spark, d):
     return part(new, "new").unionAll(part(updated, "updated"))
 
 
-def _branches(spark, d, n=3):
-    """The first ``n`` of seven branches, dealt over three schemas."""
+def _branches(spark, d):
+    """The seven branches, dealt over three schemas."""
     o = table(spark, d, "orders")
     pick = lambda b: o.where(F.col("o_orderkey") % 7 == b)
     kinds = [
@@ -220,11 +261,11 @@ def _branches(spark, d, n=3):
         lambda p: p.select("o_orderkey", F.col("o_totalprice").cast("decimal(18,4)").alias("price"), F.lit("x").alias("extra_flag")),
         lambda p: p.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.col("o_totalprice").cast("decimal(18,0)").alias("price"), "o_orderstatus"),
     ]
-    return [kinds[b % 3](pick(b)) for b in range(n)]
+    return [kinds[b % 3](pick(b)) for b in range(7)]
 
 
-_UNIFIED = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(CASE WHEN o_orderkey % 7 = 2 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,0)) ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DECIMAL(22,4)) AS price,
-CASE WHEN o_orderkey % 7 <> 1 THEN o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 7 = 1 THEN 'x' END AS extra_flag FROM orders WHERE o_orderkey % 7 < 3"""
+_UNIFIED = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(CASE WHEN o_orderkey % 7 % 3 = 2 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,0)) ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DECIMAL(22,4)) AS price,
+CASE WHEN o_orderkey % 7 % 3 <> 1 THEN o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 7 % 3 = 1 THEN 'x' END AS extra_flag FROM orders"""
 
 
 @query("u2_unify_branches", _UNIFIED)
@@ -232,10 +273,9 @@ def u2(spark, d):
     return S.unify_branches(_branches(spark, d))
 
 
-@query("m7_rebuild", _UNIFIED + " AND o_orderkey % 7 <> 1")
+@query("m7_rebuild", _UNIFIED + " WHERE o_orderkey % 7 <> 1")
 def m7(spark, d):
-    a, _, c = _branches(spark, d)  # branch 1 failed
-    return M.rebuild([a, c]).withColumn("extra_flag", F.lit(None).cast("string")).withColumn("price", F.col("price").cast("decimal(22,4)"))
+    return M.rebuild([part for b, part in enumerate(_branches(spark, d)) if b != 1])  # branch 1 failed
 
 
 @query("t8_batch_drift", "SELECT p_partkey, CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DECIMAL(20,4)) AS price FROM part")
@@ -264,9 +304,11 @@ def t3(spark, d):
     return S.cast_to(src, T.StructType().add("c_custkey", "string").add("c_acctbal", "decimal(20,4)").add("note", "string"))
 
 
-@query("t4_schema_drift")
+@query("t4_schema_drift", """WITH r AS (SELECT o_orderkey % 7 AS b, count(*) AS rows FROM orders GROUP BY 1) SELECT CAST(b AS VARCHAR) AS branch, kind, "column", detail, rows FROM r JOIN (VALUES
+(0, 'missing', 'extra_flag', NULL), (0, 'widened', 'o_orderkey', 'bigint -> string'), (0, 'widened', 'price', 'decimal(18,2) -> decimal(22,4)'), (1, 'missing', 'o_orderstatus', NULL), (1, 'widened', 'o_orderkey', 'bigint -> string'),
+(1, 'widened', 'price', 'decimal(18,4) -> decimal(22,4)'), (2, 'missing', 'extra_flag', NULL), (2, 'widened', 'price', 'decimal(18,0) -> decimal(22,4)')) v(k, kind, "column", detail) ON b % 3 = k""")
 def t4(spark, d):
-    parts = _branches(spark, d, 7)
+    parts = _branches(spark, d)
     rows = M.rebuild([b.select(F.lit(str(i)).alias("branch")) for i, b in enumerate(parts)]).groupBy("branch").agg(F.count(F.lit(1)).alias("rows"))
     return S.drift_report(table(spark, d, "orders"), {str(i): b.schema for i, b in enumerate(parts)}).join(rows, "branch", "left")
 
@@ -355,8 +397,18 @@ def f9(spark, d):
 
 @query("f10_naive_utc", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at FROM events")
 def f10(spark, d):
-    zoned = F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")
-    return table(spark, d, "events").select("event_id", F.date_format(K.naive_utc(zoned), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"))
+    return table(spark, d, "events").select("event_id", F.date_format(K.naive_utc(_zoned()), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"))
+
+
+def _zoned():
+    """The time of an event as an instant, whatever the session's zone."""
+    return F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
+
+
+@query("f1_zoned_times", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS zoned, strftime(ts, '%Y-%m-%d %H:%M:%S') AS naive FROM events")
+def f1z(spark, d):
+    e = table(spark, d, "events").select("event_id", _zoned().alias("z"), "ts")
+    return e.select("event_id", K.canon(F.col("z"), e.schema["z"].dataType).alias("zoned"), K.canon(F.col("ts"), e.schema["ts"].dataType).alias("naive"))
 
 
 @query("f11_safe_cast", "SELECT event_id, CAST(props AS VARCHAR) AS kept, event_id AS number FROM events")
@@ -412,11 +464,13 @@ def m10(spark, d):
     return M.changed_rows(s, drifted(s), ["o_orderkey"]).select("o_orderkey", "o_totalprice")
 
 
-@query("m11_merge_impact")
+@query("m11_merge_impact", "SELECT CAST(2 * count(*) AS BIGINT) AS delta_rows, count(*) AS matched, count(*) AS changed, count(*) AS inserts, false AS duplicate_keys, true AS some_rewritten FROM orders WHERE o_orderkey % 50 = 0")
 def m11(spark, d):
     s = table(spark, d, "orders")
     some = s.where("o_orderkey % 50 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 5)
-    return M.merge_impact(s, some.unionByName(some.withColumn("o_orderkey", F.col("o_orderkey") + 20_000_000)), ["o_orderkey"])
+    out = M.merge_impact(s, some.unionByName(some.withColumn("o_orderkey", F.col("o_orderkey") + 20_000_000)), ["o_orderkey"])
+    rewritten = F.col("files_rewritten").between(1, F.col("files")) & (F.col("bytes_rewritten") > 0) & (F.col("bytes_rewritten") <= F.col("bytes"))
+    return out.select("delta_rows", "matched", "changed", "inserts", "duplicate_keys", rewritten.alias("some_rewritten"))
 
 
 @query("m12_sample_delta", "SELECT o_orderkey, CAST(o_custkey + CASE WHEN r <= 50 THEN 1 ELSE 0 END AS BIGINT) AS o_custkey FROM (SELECT *, row_number() OVER (ORDER BY md5(o_orderkey || '|s1'), o_orderkey) AS r FROM orders) WHERE r <= 100")

@@ -63,9 +63,8 @@ def control(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A commit log: every 40th event is a snapshot."""
-    e = table(spark, sf_dir, "events").where(F.col("event_id") % 40 == 0)
-    return e.select((F.col("event_id") / 40).cast("bigint").alias("commit_id"), F.col("ts").alias("committed_at"))
+    """A commit log: every event is a snapshot."""
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("commit_id"), F.col("ts").alias("committed_at"))
 
 
 SRC = """src AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, o_orderdate, o_orderpriority, o_orderkey % 7 AS branch_id FROM orders)"""
@@ -79,4 +78,4 @@ ts AS start_time, ts + INTERVAL 90 SECOND AS end_time, CASE WHEN event_id % 50 =
 CONTROL = """control AS (SELECT table_name, CAST(branch_id AS VARCHAR) AS branch_id, arg_max(status, event_id) AS status, CAST(sum(row_count) AS BIGINT) AS row_count,
 CAST(max(event_id) AS VARCHAR) AS last_cdc_value, 'number' AS last_cdc_kind, strftime(max(start_time), '%Y-%m-%d') AS last_date_value, 'datetime' AS last_date_kind,
 strftime(max(end_time), '%Y-%m-%d %H:%M:%S') AS last_run_at FROM log WHERE branch_id < 6 GROUP BY ALL)"""
-COMMITS = "commits AS (SELECT event_id // 40 AS commit_id, ts AS committed_at FROM events WHERE event_id % 40 = 0)"
+COMMITS = "commits AS (SELECT event_id AS commit_id, ts AS committed_at FROM events), newest AS (SELECT commit_id FROM commits ORDER BY committed_at DESC, commit_id DESC LIMIT 1)"

@@ -53,7 +53,7 @@ def test_windows():
     w = R.make_window(T_, mark, date(2026, 1, 1), None, TODAY)
     assert (w.lower, w.upper, w.note) == (datetime(2026, 1, 1), datetime(2026, 6, 1), None)
     assert R.make_window(T_, mark, date(2026, 1, 1), date(2026, 2, 1), TODAY).upper == datetime(2026, 2, 1)
-    assert "no date column" in R.make_window(TableDef("m"), None, TODAY, None, TODAY).note
+    assert "no-date-column" == R.make_window(TableDef("m"), None, TODAY, None, TODAY).note
     now = TableDef("t", date_column="day", date_max="TRUNC(SYSDATE)")
     assert R.make_window(now, None, date(2026, 1, 1), None, TODAY).upper == datetime(2026, 7, 19)
     odd = R.make_window(TableDef("t", date_column="day", date_max="some_expr"), None, date(2026, 1, 1), None, TODAY)
@@ -61,9 +61,9 @@ def test_windows():
     julian = TableDef("t", date_column="j", date_is_julian=True, date_max="2461000")
     assert R.make_window(julian, {"last_date": {"value": "2460000", "kind": "number"}}, date(2000, 1, 1), None, TODAY).lower == 2451545
     helper = TableDef("t", date_column="day", helper=HelperJoin("p", (), "c"))
-    assert "helper-driven" in R.make_window(helper, mark, date(2026, 1, 1), None, TODAY).note
-    assert "unparseable" in R.make_window(T_, {"last_date": {"value": "x", "kind": "datetime"}}, date(2026, 1, 1), None, TODAY).note
-    assert "does not fit" in R.make_window(T_, {"last_date": {"value": "1", "kind": "number"}}, date(2026, 1, 1), None, TODAY).note
+    assert R.make_window(helper, mark, date(2026, 1, 1), None, TODAY).note == "helper/open"
+    assert "mark-text/open" == R.make_window(T_, {"last_date": {"value": "x", "kind": "datetime"}}, date(2026, 1, 1), None, TODAY).note
+    assert "mark-kind/open" == R.make_window(T_, {"last_date": {"value": "1", "kind": "number"}}, date(2026, 1, 1), None, TODAY).note
 
 
 def test_reconcile_missing_sides_and_errors(spark):
@@ -77,6 +77,32 @@ def test_reconcile_missing_sides_and_errors(spark):
     assert len(R.reconcile(src, src, tdef, win, at, "r").columns) == 25
 
 
+def test_opaque_ceiling_holds_on_the_source_only(spark):
+    df = spark.sql("SELECT id, TIMESTAMP_NTZ '2026-01-01 00:00:00' + make_dt_interval(CAST(id AS INT)) AS day, 1L AS branch_id FROM range(10)")
+    win = R.make_window(TableDef("t", date_column="day", date_max="timestamp_ntz '2026-01-03 00:00:00' + interval 0 days"), None, date(2026, 1, 2), None, TODAY)
+    assert win.upper is None and win.note == "no-mark/ceiling"
+    r = R.count_check(df, df, win).first()
+    assert (r["source_rows"], r["lake_rows"]) == (2, 9)
+
+
+def test_reconcile_isolates_a_failing_row_and_normalises_keys(spark):
+    src = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "`Cust-Key` bigint, v string, branch_id bigint")
+    tdef, at = TableDef("t", ("Cust-Key",)), datetime(2026, 1, 1)
+    assert R.reconcile(src, src, tdef, R.Window_(None), at, "r").first()["status"] == "OK"
+    broken = src.withColumn("v", F.when(F.col("Cust-Key") == 2, F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("v")))
+    row = R.reconcile(broken, src, tdef, R.Window_(None), at, "r").first()
+    assert row["status"] == "ERROR" and "lost" in row["error_details"]
+
+
+def test_null_keys_meet(spark):
+    old = spark.createDataFrame([(None, 1, "a"), (2, None, "b"), (3, 3, "c")], "id bigint, k bigint, v string")
+    new = spark.createDataFrame([(None, 1, "a"), (2, None, "B"), (None, None, "n")], "id bigint, k bigint, v string")
+    got = {(r["id"], r["k"], r["change"]) for r in H.diff_keys(old, new, ["id", "k"]).collect()}
+    assert got == {(2, None, "updated"), (3, 3, "deleted"), (None, None, "inserted")}
+    assert [(r["id"], r["old"], r["new"]) for r in H.field_changes(old, new, ["id", "k"]).collect()] == [(2, "b", "B")]
+    assert H.collect_changed(old, H.diff_keys(old, new, ["id", "k"]).where("change = 'updated'"), ["id", "k"]).first()["v"] == "b"
+
+
 def test_diff_decides_on_canonical_values(spark):
     old = spark.sql("SELECT 1L AS id, CAST(1.50 AS DECIMAL(8,2)) AS p, 'a' AS s UNION ALL SELECT 2L, CAST(3 AS DECIMAL(8,2)), 'b' UNION ALL SELECT 3L, NULL, 'c'")
     new = spark.sql("SELECT 1L AS id, CAST(1.5 AS DECIMAL(10,4)) AS p, 'a' AS s UNION ALL SELECT 2L, CAST(4 AS DECIMAL(10,4)), 'B' UNION ALL SELECT 4L, NULL, 'n'")
@@ -96,6 +122,14 @@ def test_control_round_trip(spark):
     assert C.upsert_control(a, b.drop("last_date_kind")).where("branch_id = '1'").first()["last_date_kind"] is None
 
 
+def test_a_mark_keeps_its_kind(spark):
+    cols = "table_name string, branch_id string, last_cdc_value string, last_cdc_kind string, last_date_value string, last_date_kind string"
+    old = spark.createDataFrame([("c", "1", "2026-01-02", "datetime", "9", "number"), ("c", "2", "x", "string", None, None)], cols)
+    new = spark.createDataFrame([("c", "1", "2026-01-01", "string", "10", "number"), ("c", "2", "5", "number", "7", "number")], cols)
+    got = {r["branch_id"]: tuple(r)[2:] for r in C.advance(old, new).collect()}
+    assert got == {"1": ("2026-01-02", "datetime", "10", "number"), "2": ("5", "number", "7", "number")}
+
+
 def test_run_summary_tolerates_null_times(spark):
     log = spark.createDataFrame(
         [("r1", "a", "1", 100, "SUCCESS", "2026-01-01 06:00:00", "2026-01-01 06:05:00"), ("r1", "b", "1", 50, "FAILED", "2026-01-01 06:03:00", "2026-01-01 06:12:00"), ("r1", "b", "2", 25, "SUCCESS", None, None)],
@@ -113,6 +147,10 @@ def test_logs(spark):
     got = L.parse_pipeline_log(spark.createDataFrame([(x,) for x in lines], "line string")).collect()
     assert [r["kind"] for r in got] == ["progress", "unit", "unit_error", "no_rows", "skipped", "summary", "issue"]
     assert got[0]["rows"] == 1234 and got[0]["fail"] == 1 and got[1]["rows"] == 1000 and got[6]["detail"].endswith("odd")
+    assert (got[0]["elapsed"], got[0]["memory"], got[0]["memory_peak"], got[0]["tables_total"], got[0]["units_total"]) == ("0:01:02", "1 GB", "2 GB", 2, 4)
+    assert got[1]["attempt"] == 2 and (got[2]["branch"], got[2]["table"], got[2]["detail"]) == ("b1", "orders", "lost") and got[6]["level"] == "warning"
+    kinds = lambda *x: L.classify_log(spark.createDataFrame([(y,) for y in x], "line string")).first()[0]
+    assert kinds("# command : python check_dq.py", "x PROGRESS 0:00:01") == "dq" and kinds("# command : other", "DQ-UNIT a/b") == "generic" and kinds("nothing") == "generic"
     one = L.classify_log(spark.createDataFrame([("Updated : 1  Inserted : 2  Deleted : 3",)], "line string")).first()[0]
     assert one == "snapshot"
 

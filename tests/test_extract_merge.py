@@ -169,3 +169,88 @@ def test_stream_upsert(spark, tmp_path):
     changes = spark.readStream.schema("id bigint, name string, branch_id bigint, seq int").parquet(src)
     merge_stream(changes, lake, "t", ["id", "branch_id"], "seq", str(tmp_path / "cp")).awaitTermination()
     assert sorted((r["id"], r["name"]) for r in lake.read("t").collect()) == [(1, "b"), (2, "c")]
+
+
+def test_a_second_stream_and_expired_snapshots(spark, tmp_path):
+    """Batches of another stream count by themselves, and a replay is known after its snapshot has gone."""
+    from branchlake.sources.lake import expire_to_latest
+    from branchlake.streaming.upsert import merge_stream
+
+    kind = "id bigint, name string, branch_id bigint, seq int"
+    lake = Lake(spark, fresh(spark, "lake"))
+    lake.replace("t", _t(spark, [(1, "old", 1)]).withColumn("seq", F.lit(0)), "r1", NOW)
+    for i in (1, 2):
+        spark.createDataFrame([(i, f"s{i}", 1, 1)], kind).write.parquet(f"{tmp_path}/in{i}")
+        merge_stream(spark.readStream.schema(kind).parquet(f"{tmp_path}/in{i}"), lake, "t", ["id", "branch_id"], "seq", f"{tmp_path}/cp{i}").awaitTermination()
+    assert sorted((r["id"], r["name"]) for r in lake.read("t").collect()) == [(1, "s1"), (2, "s2")]
+    runs = [r["run_id"] for r in lake.snapshots("t").collect()]
+    assert lake.keep_snapshots("t", expire_to_latest(lake.snapshots("t"))) == 2
+    assert all(lake.seen("t", r) for r in runs) and not lake.seen("t", "stream-x-0")
+
+
+def test_lake_tables_survive_change(spark):
+    lake = Lake(spark, fresh(spark, "lake"))
+    lake.replace("t", _t(spark, [(1, "a", 1), (2, "b", 2), (3, "n", None)]), "r1", NOW)
+    assert lake.read("t", branches=[None]).first()["id"] == 3 and lake.read("t").count() == 3
+    lake.merge("t", spark.createDataFrame([("x1", 5.5, 1)], "id string, name double, branch_id bigint"), ["id", "branch_id"], "r2", NOW)
+    assert {(r["id"], r["name"], r["branch_id"]) for r in lake.read("t").collect()} == {("1", "a", 1), ("x1", "5.5", 1), ("2", "b", 2), ("3", "n", None)}
+    lake.append("t", spark.createDataFrame([("y", 2, True)], "id string, branch_id bigint, flag boolean"), "r3", NOW)
+    assert {(r["id"], r["name"], r["flag"]) for r in lake.read("t", branches=[2]).collect()} == {("2", "b", None), ("y", None, True)}
+    assert lake.read("t", snapshot_id=1).schema["id"].dataType.simpleString() == "bigint"
+    with pytest.raises(ValueError, match="duplicate"):
+        lake.merge("t", _t(spark, [(7, "p", 1), (7, "q", 1)]), ["id", "branch_id"])
+    assert lake.read("t").count() == 5
+    lake.replace("t", _t(spark, []), "r4", NOW)
+    assert lake.read("t").count() == 0 and lake.snapshots("t").first()["total_records"] == 0
+    lake.append("t", _t(spark, [(9, "z", 1)]), "r5", NOW)
+    assert [tuple(r) for r in lake.read("t").select("id", "name", "branch_id").collect()] == [(9, "z", 1)]
+
+
+def test_a_row_that_arrives_during_a_load_comes_with_the_next(spark, monkeypatch):
+    from branchlake.plans import load
+
+    url, driver = "jdbc:derby:memory:moving;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    put = lambda i, cdc, mode: spark.createDataFrame([(i, cdc)], "ID int, CDC int").write.mode(mode).jdbc(url, "T", properties=driver)
+    put(1, 10, "overwrite")
+    tdef, lake = TableDef("T", ("ID",), "transactions", cdc_column="CDC"), Lake(spark, fresh(spark, "lake"))
+    source = lambda: {1: X.read_source(spark, tdef, {"format": "jdbc", "url": url, **driver})}
+    stage, arrived = load.stage, []
+
+    def moving(df, path):
+        out = stage(df, path)
+        if not arrived:
+            arrived.append(1)
+            put(2, 99, "append")
+        return out
+
+    monkeypatch.setattr(load, "stage", moving)
+    first = load.run_table(lake, tdef, source(), "INITIAL", NOW, 1, "r1")
+    assert first.rows == 1 and lake.read("etl_control").first()["last_cdc_value"] == "10"
+    second = load.run_table(lake, tdef, source(), "INCREMENTAL", NOW, 1, "r2")
+    assert second.rows == 1 and sorted(r["id"] for r in lake.read("t").collect()) == [1, 2] and lake.read("etl_control").first()["last_cdc_value"] == "99"
+
+
+def test_a_load_that_fails_is_recorded_and_advances_nothing(spark):
+    from branchlake.plans.load import run_table
+
+    lake, tdef = Lake(spark, fresh(spark, "lake")), TableDef("T", ("ID",), "transactions", cdc_column="CDC")
+    src = lambda rows: spark.createDataFrame(rows, "ID bigint, CDC bigint")
+    run_table(lake, tdef, {1: src([(1, 5)]), 2: None}, "INITIAL", NOW, 2, "r1")
+    bad = run_table(lake, tdef, {1: src([(2, 9), (2, 9)]), 2: src([(3, 7)])}, "INCREMENTAL", NOW, 2, "r2")
+    assert bad.status == "FAILED" and lake.read("t").count() == 1
+    log = {(r["pipeline_run_id"], r["branch_id"]): (r["status"], r["load_status"], r["row_count"]) for r in lake.read("etl_run_log").collect()}
+    assert log == {("r1", 1): ("SUCCESS", "LOADED", 1), ("r1", 2): ("FAILED", "LOADED", 0), ("r2", 1): ("SUCCESS", "FAILED", 0), ("r2", 2): ("SUCCESS", "FAILED", 0)}
+    marks = {r["branch_id"]: (r["status"], r["last_cdc_value"]) for r in lake.read("etl_control").collect()}
+    assert marks == {1: ("FAILED", "5"), 2: ("FAILED", None)}
+
+
+def test_a_helper_driven_load(spark):
+    from branchlake.plans.load import run_table
+
+    helper = HelperJoin("p", (("PID", "ID"),), "CDC", None)
+    lake, tdef = Lake(spark, fresh(spark, "lake")), TableDef("C", ("ID",), "transactions", helper=helper)
+    child = spark.createDataFrame([(1, 10), (2, 20)], "ID bigint, PID bigint")
+    parent = lambda cdc: spark.createDataFrame([(10, 1), (20, cdc)], "ID bigint, CDC bigint")
+    assert run_table(lake, tdef, {1: child}, "INITIAL", NOW, 1, "r1", {1: parent(2)}).rows == 2
+    assert run_table(lake, tdef, {1: child}, "INCREMENTAL", NOW, 1, "r2", {1: parent(7)}).rows == 1
+    assert "etl_helper_cdc" not in lake.read("c").columns and lake.read("etl_control").first()["last_cdc_value"] == "7"

@@ -134,3 +134,23 @@ def test_safe_cast_keeps_text_if_any_value_is_lost(spark):
     df = spark.createDataFrame([("1", "1"), ("x", None)], "a string, b string")
     out = K.safe_cast(K.safe_cast(df, "a", "bigint"), "b", "bigint")
     assert (out.schema["a"].dataType, out.schema["b"].dataType) == (T.StringType(), T.LongType())
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC", "Asia/Kathmandu"])
+def test_instants_are_told_in_utc(spark, zone):
+    """Also in a daylight-saving gap (02:30 on 8 March 2026 in New York) and before 1970."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        texts = ["2026-01-01 00:00:00", "2026-03-08 02:30:00.5", "2026-11-01 05:30:00", "1969-12-31 23:59:59.000001"]
+        df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.concat("t", F.lit("Z")).cast("timestamp").alias("z"), F.col("t").cast("timestamp_ntz").alias("n"))
+        for r in df.select(K.naive_utc(F.col("z")).alias("got"), "n", K.canon(F.col("z"), df.schema["z"].dataType).alias("a"), K.canon(F.col("n"), df.schema["n"].dataType).alias("b")).collect():
+            assert r["got"] == r["n"] and r["a"] == r["b"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_safe_cast_infers_what_fits(spark):
+    df = spark.createDataFrame([("1.5", "2026-01-02", None), ("2", "2026-01-03", None)], "a string, b string, c string")
+    for name, want in (("a", "decimal(38,10)"), ("b", "date"), ("c", "bigint")):
+        assert K.safe_cast(df, name, "bigint").schema[name].dataType.simpleString() == want
