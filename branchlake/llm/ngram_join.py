@@ -137,7 +137,7 @@ def owner() -> Column:
     return F.shiftright(F.shiftleft(F.xxhash64("fp"), 1), 1).alias("own")
 
 
-def possible(sig: DataFrame, percent: int, scratch: Scratch, rounds: int = 3, slices: int = 4) -> DataFrame:
+def possible(sig: DataFrame, percent: int, scratch: Scratch, rounds: int = 3, slices: int = 8) -> DataFrame:
     """(fp, least, n) of the classes in ``sig`` (a table in ``scratch``, used up) that step 2 can't rule out. Only these can be partners, so counting again among them rules out more."""
     heads = sig.where(F.size("head") > 0)
     left = heads.groupBy("fp").agg(F.min("id").alias("least"), F.first("n").alias("n"))
