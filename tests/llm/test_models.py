@@ -434,3 +434,17 @@ def test_pipeline_near_duplicates_by_row(spark):
     assert out.columns == cp.COLUMNS
     got = Counter((r["doc_id"], (r["text"] or "").split(" ")[0].strip()) for r in out.collect())
     assert got == {(1, "a0"): 1, (None, "b0"): 1, (5, "c0"): 1, (2, "d0"): 1, (None, "e0"): 1, (7, "f0"): 1, (None, ""): 2, (9, ""): 2, (10, "g0"): 1}
+
+
+@pytest.mark.skipif(not importlib.util.find_spec("corpus_pipeline"), reason="the pipeline is not here")
+def test_pipeline_stages_of_odd_and_empty_tables(spark, odd):
+    """Nulls, repeated rows, empty and long texts, clashing columns: lines, personal data and packing keep every row."""
+    import corpus_pipeline as cp
+
+    rows = odd.withColumns({"lang": F.lit(None).cast("string"), "source": F.lit("s"), "n_chars": F.lit(None).cast("long")})
+    for stage in (cp.drop_common_lines, cp.redact_personal_data):
+        out = stage(spark, rows, "")
+        assert out.columns == cp.COLUMNS and sorted(str(r["doc_id"]) for r in out.collect()) == sorted(str(r["doc_id"]) for r in rows.collect())
+        assert stage(spark, rows.limit(0), "").count() == 0
+    packed = cp.pack_sequences(spark, rows, "").collect()
+    assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == Counter(r["doc_id"] for r in rows.collect()) and cp.pack_sequences(spark, rows.limit(0), "").count() == 0
