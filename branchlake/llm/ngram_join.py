@@ -40,7 +40,7 @@ class WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 300_000:
+        if len(self) < 100_000:
             self[word] = value
         return value
 
@@ -81,7 +81,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
         hashes = WordHashes()
         for b in batches:
             fps, ns, heads = [], [], []
-            for t in b.column(1).to_pylist():
+            for t in (t for low in range(0, b.num_rows, 256) for t in b.column(1).slice(low, 256).to_pylist()):
                 s = shingle_set(t, width, hashes)
                 n = len(s)
                 fps.append(xxhash.xxh3_128_digest(s.tobytes()) if n else None)

@@ -29,23 +29,27 @@ END = (1).to_bytes(4, "little")
 class WordIds:
     """Token ids of a text as little-endian 32-bit bytes, from a cache of its chunks between ASCII white space.
 
-    The tokenizer drops white space and no token crosses it, so a text's ids are its chunks' ids one after another.
+    The tokenizer drops white space and no token crosses it, so a text's ids are its chunks' ids one after another. A full cache becomes the older one, from which
+    chunks that are seen again come back; so frequent chunks stay, and those seen once, which are most, go.
     """
 
-    def __init__(self, path: str, limit: int = 1_200_000):
+    def __init__(self, path: str, limit: int = 300_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.limit = Tokenizer.from_file(path), {}, limit
+        self.tokenizer, self.known, self.older, self.limit = Tokenizer.from_file(path), {}, {}, limit
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
+        if len(self.known) > self.limit:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         split = [t.replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\f", " ").replace("\v", " ").split(" ") for t in texts]
-        new = list(set().union(*split).difference(known))
+        new = set().union(*split).difference(known)
+        again = new.intersection(older)
+        known.update((w, older[w]) for w in again)
+        new = list(new - again)
         for i in range(0, len(new), 10_000):
             part = new[i : i + 10_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):

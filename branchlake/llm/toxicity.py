@@ -64,7 +64,7 @@ class Lexicon:
         """Weight, whether only undoing a disguise found it, whether the word mixes letters with other signs."""
         found = self.memo.get(raw)
         if found is None:
-            if len(self.memo) > 500_000:
+            if len(self.memo) > 100_000:
                 self.memo.clear()
             word = plain(raw)
             mixed = len(word) > 2 and any(c.isalpha() for c in word) and not word.isalpha()
@@ -267,7 +267,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.array([features(t or "", model.lexicon) for t in b.column(at).to_pylist()]).reshape(-1, FEATURES)
+            texts = (t for low in range(0, b.num_rows, 256) for t in b.column(at).slice(low, 256).to_pylist())
+            x = np.array([features(t or "", model.lexicon) for t in texts]).reshape(-1, FEATURES)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(x), pa.float64())], names=[*b.schema.names, "score"])
 
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
