@@ -337,6 +337,17 @@ def fewest(lengths, capacity):
     return best[0]
 
 
+def test_word_cache_gives_the_tokenizer_s_ids_whatever_it_forgets():
+    from tokenizers import Tokenizer
+
+    own, plain = packing.WordIds(WORDS, limit=5), Tokenizer.from_file(WORDS)
+    texts = ["", "one two", "two\tthree  four", *(f"one w{i} x{i % 7} Straße{i % 3}\n" for i in range(200))]
+    for at in range(0, len(texts), 4):
+        part = texts[at : at + 4]
+        assert own(part) == [np.array([*plain.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes() for t in part]
+        assert len(own.known) <= 5 + 4 * 5 and len(own.older) <= 5 + 4 * 5
+
+
 def test_plan_against_all_packings():
     rng = np.random.default_rng(4)
     for lengths in ([34, 33, 33] * 3, [60, 40] * 4, [51, 51, 49], [50] * 5, [26] * 8, [45, 35, 20] * 3, *[rng.integers(5, 70, 11).tolist() for _ in range(25)]):
