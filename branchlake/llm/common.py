@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +65,25 @@ def small_side(df: DataFrame, limit: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int = 256) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task function for mapInArrow that sees its batches in slices of at most ``rows`` rows, so its answers stay small too, and gives freed memory back to the system at its end.
+
+    Python workers outlive their tasks, and what an idle one still holds is missing in the stages that follow.
+    """
+
+    @functools.wraps(run)
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(b.slice(low, rows) for b in batches for low in range(0, b.num_rows, rows))
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+            if trim:
+                trim(0)
+
+    return sliced
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from branchlake.llm.common import Scratch, cut, small_side
+from branchlake.llm.common import Scratch, cut, lean, small_side
 from branchlake.llm.components import components
 
 BLOCK = 512
@@ -81,7 +81,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
         hashes = WordHashes()
         for b in batches:
             fps, ns, heads = [], [], []
-            for t in (t for low in range(0, b.num_rows, 256) for t in b.column(1).slice(low, 256).to_pylist()):
+            for t in b.column(1).to_pylist():
                 s = shingle_set(t, width, hashes)
                 n = len(s)
                 fps.append(xxhash.xxh3_128_digest(s.tobytes()) if n else None)
@@ -93,7 +93,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.binary()), pa.array(ns, pa.int64()), flat], names=["id", "fp", "n", "head"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp binary, n long, head array<long>")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"id {kind}, fp binary, n long, head array<long>")
 
 
 def sketch(tokens: np.ndarray) -> bytes:
@@ -115,7 +115,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
 
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = own.join(small_side(wanted.select("least", "fp", "cid")), F.col("id").eqNullSafe(F.col("least"))).select("text", "fp", "cid")
-    return texts.mapInArrow(run, "cid long, toks array<long>, sketch binary").groupBy("cid").agg(F.first("toks").alias("toks"), F.first("sketch").alias("sketch")).withColumn("n", F.size("toks").cast("long"))
+    return texts.mapInArrow(lean(run), "cid long, toks array<long>, sketch binary").groupBy("cid").agg(F.first("toks").alias("toks"), F.first("sketch").alias("sketch")).withColumn("n", F.size("toks").cast("long"))
 
 
 def lonely(heads: DataFrame, percent: int, slices: int, scratch: Scratch) -> DataFrame:
@@ -210,7 +210,7 @@ def in_blocks(members: DataFrame, group: str, size: str, columns: list[str], per
         if held:
             yield _spanning(held, key, percent, whole)
 
-    return placed.mapInArrow(run, "u long, v long")
+    return placed.mapInArrow(lean(run), "u long, v long")
 
 
 def _spanning(held: list[pa.RecordBatch], key: tuple, percent: int, whole: bool) -> pa.RecordBatch:

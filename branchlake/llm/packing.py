@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from branchlake.llm.common import cut
+from branchlake.llm.common import cut, lean
 
 # The id that ends a document.
 END = (1).to_bytes(4, "little")
@@ -73,21 +73,19 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for b in batches:
-            for low in range(0, b.num_rows, 256):
-                ids = b.column(0).slice(low, 256)
-                rows = []
-                for i, code in zip(ids.to_pylist(), encode([t or "" for t in b.column(1).slice(low, 256).to_pylist()]), strict=True):
-                    for k, at in enumerate(range(0, len(code), 4 * capacity)):
-                        own = code[at : at + 4 * capacity]
-                        rows.append((i, k, at // 4, len(own) // 4, zlib.crc32(own), part, int(seen[len(own) // 4])))
-                        seen[len(own) // 4] += 1
-                cols = list(zip(*rows, strict=True))
-                kinds = [b.schema.types[0], pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
+            rows = []
+            for i, code in zip(b.column(0).to_pylist(), encode([t or "" for t in b.column(1).to_pylist()]), strict=True):
+                for k, at in enumerate(range(0, len(code), 4 * capacity)):
+                    own = code[at : at + 4 * capacity]
+                    rows.append((i, k, at // 4, len(own) // 4, zlib.crc32(own), part, int(seen[len(own) // 4])))
+                    seen[len(own) // 4] += 1
+            cols = list(zip(*rows, strict=True))
+            kinds = [b.schema.types[0], pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, rank long")
+    return narrow.mapInArrow(lean(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, rank long")
 
 
 def knapsack(sizes: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

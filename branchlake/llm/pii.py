@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from branchlake.llm.common import WHITE
+from branchlake.llm.common import WHITE, lean
 
 KINDS = ("email", "ip", "card", "phone")
 #: OUT, then the first token of a span of each kind and its further ones
@@ -428,7 +428,7 @@ def find(docs: DataFrame, field: Field, sure: float = SURE, text_col: str = "tex
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, _ARROW)], names=[*b.schema.names, "pii"])
 
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{kinds}, pii {SPANS}")
+    return docs.mapInArrow(lean(run), f"{kinds}, pii {SPANS}")
 
 
 def redact(docs: DataFrame, field: Field, sure: float = SURE, text_col: str = "text") -> DataFrame:
@@ -456,4 +456,4 @@ def redact(docs: DataFrame, field: Field, sure: float = SURE, text_col: str = "t
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if i == at else c for i, c in enumerate(b.columns)], names=b.schema.names)
 
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, kinds)
+    return docs.mapInArrow(lean(run), kinds)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchlake.llm.common import Scratch, hash_share
+from branchlake.llm.common import Scratch, hash_share, lean
 
 # Second-person pronouns of the four languages.
 SECOND_PERSON = frozenset("you your yours yourself tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch euer ti tú tus usted ustedes vosotros".split())
@@ -41,6 +41,7 @@ def terms_of(text: str) -> set[str]:
     return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
 
 
+@lean
 def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, toxic, half) to a row per term with its texts: clean and toxic ones of either half."""
     counts = [Counter() for _ in range(4)]
@@ -250,7 +251,7 @@ def _fit(docs: DataFrame, labels: DataFrame, sample: int, terms: int, least: int
             x = [features(t, other[h]) for t, h in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1), b.column(3)], names=["x", "toxic", "fifth"])
 
-    got = rows_.mapInArrow(vectors, "x array<double>, toxic boolean, fifth int").orderBy("x", "toxic").collect()
+    got = rows_.mapInArrow(lean(vectors), "x array<double>, toxic boolean, fifth int").orderBy("x", "toxic").collect()
     x, y = np.array([r["x"] for r in got]).reshape(-1, FEATURES), np.array([float(r["toxic"]) for r in got])
     calib = np.array([r["fifth"] == 4 for r in got], dtype=bool)
     if not len(y) or y.min() == y.max() or calib.all() or not calib.any():
@@ -267,10 +268,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = (t for low in range(0, b.num_rows, 256) for t in b.column(at).slice(low, 256).to_pylist())
-            x = np.array([features(t or "", model.lexicon) for t in texts]).reshape(-1, FEATURES)
+            x = np.array([features(t or "", model.lexicon) for t in b.column(at).to_pylist()]).reshape(-1, FEATURES)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(x), pa.float64())], names=[*b.schema.names, "score"])
 
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{kinds}, score double")
+    return docs.mapInArrow(lean(run), f"{kinds}, score double")
 
