@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators, with their SQL where SQL can express them."""
+"""The registered queries of the operators, with their SQL where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchlake.llm import embedding_dedup, exact_dedup, line_dedup, ngram_join, q_text, secret_scan, sharding
+from branchlake.llm import embedding_dedup, exact_dedup, line_dedup, ngram_join, q_audit, q_text, secret_scan, sharding
 from branchlake.llm.common import text_or_empty
 from branchlake.sources.scratch import fresh
 
@@ -62,7 +62,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_secret_scan, op3_embedding_dedup, op4_line_dedup, q_text.op5_pii, op6_ngram_join, op7_exact_dedup, q_text.op8_sentencepiece, q_text.op9_packing, q_text.op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_secret_scan, op3_embedding_dedup, op4_line_dedup, q_text.op5_pii, op6_ngram_join, op7_exact_dedup, q_text.op8_sentencepiece, q_text.op9_packing, q_text.op10_toxicity)} | q_audit.QUERIES
 
 _KEY = r"translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -94,4 +94,4 @@ FROM k LEFT JOIN hot USING (key) GROUP BY doc_id""",
     "op7_exact_dedup": """SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
   count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size, doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
   sha256(coalesce(text, '')) AS text_sha256 FROM documents""",
-}
+} | q_audit.ORACLE_SQL
