@@ -24,6 +24,14 @@ def check_unique(delta: DataFrame, keys: list[str]) -> None:
         raise ValueError("duplicate keys in the delta")
 
 
+def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A join by keys in which null equals null, under the wider of their types; of an inner or outer one the right side's keys stay away."""
+    own = right.withColumnsRenamed({k: f"__key_{i}" for i, k in enumerate(keys)})
+    kinds = [widen(left.schema[k].dataType, right.schema[k].dataType) for k in keys]
+    on = reduce(Column.__and__, [F.col(k).cast(t).eqNullSafe(F.col(f"__key_{i}").cast(t)) for i, (k, t) in enumerate(zip(keys, kinds, strict=True))])
+    return left.join(own, on, how).drop(*[f"__key_{i}" for i in range(len(keys))])
+
+
 def _aligned(target: DataFrame, delta: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both under the stored columns plus the delta's new ones; old rows hold null there, types widen."""
     stored = {f.name.lower(): f for f in target.schema.fields}
@@ -39,14 +47,14 @@ def _aligned(target: DataFrame, delta: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def merge_upsert(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """Matched rows are replaced whole, others are added; keys must not be null and be unique in the delta."""
+    """Matched rows are replaced whole, others are added; keys must be unique in the delta, and a null in one is a value like others."""
     old, new = _aligned(target, delta)
-    return old.join(new.select(*keys), keys, "left_anti").select(*old.columns).unionAll(new)
+    return keyed_join(old, new.select(*keys), keys, "left_anti").select(*old.columns).unionAll(new)
 
 
 def merge_insert_only(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     old, new = _aligned(target, delta)
-    return old.unionAll(new.join(old.select(*keys).distinct(), keys, "left_anti").select(*old.columns))
+    return old.unionAll(keyed_join(new, old.select(*keys).distinct(), keys, "left_anti").select(*old.columns))
 
 
 def merge(target: DataFrame, delta: DataFrame, keys: list[str], strategy: str = "upsert") -> DataFrame:
@@ -60,7 +68,7 @@ def merge(target: DataFrame, delta: DataFrame, keys: list[str], strategy: str =
 def carry_forward(delta: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """The first-load time of rows already stored survives, new rows keep theirs."""
     before = existing.select(*keys, F.col(INSERTED).alias("__before"))
-    return delta.join(before, keys, "left").withColumn(INSERTED, F.coalesce("__before", INSERTED)).select(*delta.columns)
+    return keyed_join(delta, before, keys, "left").withColumn(INSERTED, F.coalesce("__before", INSERTED)).select(*delta.columns)
 
 
 def merge_with_history(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
@@ -72,7 +80,7 @@ def merge_with_history(target: DataFrame, delta: DataFrame, keys: list[str]) ->
 def split_delta(target: DataFrame, delta: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(matched, new) rows of the delta."""
     have = target.select(*keys)
-    return delta.join(have, keys, "left_semi"), delta.join(have, keys, "left_anti")
+    return keyed_join(delta, have, keys, "left_semi"), keyed_join(delta, have, keys, "left_anti")
 
 
 def changed_rows(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
@@ -80,22 +88,23 @@ def changed_rows(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFr
     other = [c for c in delta.columns if c not in keys and c in target.columns]
     old = target.select(*keys, *[F.col(c).alias(f"__old_{c}") for c in other])
     differs = reduce(Column.__or__, [~F.col(c).eqNullSafe(F.col(f"__old_{c}")) for c in other], F.lit(False))
-    return delta.join(old, keys).where(differs).select(*delta.columns)
+    return keyed_join(delta, old, keys, "inner").where(differs).select(*delta.columns)
 
 
 def dedupe_delta(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The first row per key in an explicit order of columns or expressions; a descending one is given as F.desc(column). Rows are picked on the map side already if the order ascends."""
-    if all(isinstance(o, str) for o in order):
-        # nulls come first, as in an ascending sort; the whole row decides what the order leaves open
-        rank = F.struct(*order, F.struct(*df.columns).alias("__row"))
-        return df.groupBy(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)]).agg(F.min(rank).alias("__first")).select("__first.__row.*")
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    """The first row per key in an explicit order of columns or expressions; a descending one is given as F.desc(column). Among equals it is the one with the smallest hash of the whole row."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*[c for c in df.columns if not _holds_map(df.schema[c].dataType)])))
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    """Maps have no order and no hash."""
+    return "map<" in kind.simpleString()
+
+
 def cluster_by_hash(df: DataFrame, branch: str = "branch_id") -> DataFrame:
-    """Rows of a branch together, ordered by hash within a file, so that row-group statistics prune."""
-    return df.repartition(branch, F.pmod(F.xxhash64(HASH), F.lit(16))).sortWithinPartitions(branch, HASH)
+    """Rows dealt out by range of (branch, hash) and ordered so, so that a file covers a short range of hashes and the ranges of its footer prune."""
+    return df.repartitionByRange(branch, HASH).sortWithinPartitions(branch, HASH)
 
 
 def choose_disposition(tdef: TableDef, mode: str, succeeded: int, in_run: int, configured: int) -> str:
@@ -114,10 +123,11 @@ def rebuild(branches: list[DataFrame]) -> DataFrame:
 
 
 def merge_impact(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: matched, changed and new rows, and the files and bytes of ``target`` (a file scan) that a copy-on-write would rewrite."""
-    files = target.select(*keys, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("__bytes"))
+    """One row: matched, changed and new rows, and the files and bytes of ``target`` (a file scan, or rows with ``__file`` and ``__bytes``) that a copy-on-write would rewrite."""
+    located = {"__file", "__bytes"} <= set(target.columns)
+    files = target.select(*keys, "__file", "__bytes") if located else target.select(*keys, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("__bytes"))
     own = delta.select(*keys).distinct().withColumn("__hit", F.lit(1))
-    per_file = files.join(own, keys, "left").groupBy("__file").agg(F.max("__bytes").alias("bytes"), F.count("__hit").alias("hit"))
+    per_file = keyed_join(files, own, keys, "left").groupBy("__file").agg(F.max("__bytes").alias("bytes"), F.count("__hit").alias("hit"))
     disk = per_file.agg(
         F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.count_if(F.col("hit") > 0).alias("files_rewritten"),
         F.coalesce(F.sum(F.when(F.col("hit") > 0, F.col("bytes"))), F.lit(0)).alias("bytes_rewritten"), F.sum("hit").alias("matched"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -255,7 +255,7 @@ def d8(spark, d):
 @query("j10_orphan_files", "SELECT 'f' || event_id AS folder, event_id AS bytes FROM events WHERE event_id % 7 <> 0")
 def j10(spark, d):
     files = table(spark, d, "events").select(F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("folder"), F.col("event_id").alias("bytes"))
-    return LK.orphan_files(files, files.where("bytes % 7 = 0").select("folder"))
+    return LK.orphan_files(files, files.where("bytes % 7 = 0"), "folder")
 
 
 def _versions(spark, d):
@@ -278,8 +278,8 @@ def d9(spark, d):
     for v, df in enumerate(_both(spark, d)):
         lk.replace("orders", df, f"r{v}", NOW)
     expired = lk.keep_snapshots("orders", LK.expire_to_latest(lk.snapshots("orders")))
-    files, size = lk.sweep("orders")
-    return lk.read("orders").agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(expired).alias("expired"), F.lit(files > 0 and size > 0).alias("swept"))
+    files, size, failed = lk.sweep("orders", older_than=timedelta(0))
+    return lk.read("orders").agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(expired).alias("expired"), F.lit(files > 0 and size > 0 and not failed).alias("swept"))
 
 
 @query("x1_list_tables", f"WITH {SRC}, {DRIFTED} SELECT 'copies' AS \"table\", false AS is_system, (SELECT count(*) FROM src) + (SELECT count(*) FROM lake) AS rows, true AS stored, CAST(2 AS BIGINT) AS snapshots, '2026-01-02 03:04:05' AS updated, 'snapshots' AS category UNION ALL SELECT 'orders', false, (SELECT count(*) FROM src), true, 1, '2026-01-02 03:04:05', 'transactions'")

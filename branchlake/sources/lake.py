@@ -1,36 +1,83 @@
-"""Lake tables: Parquet in commit folders plus a commit log.
+"""Lake tables: Parquet files plus a log of numbered commits.
 
-Data of a commit lie in ``<table>/data/commit_id=N/branch_id=B/``. The log, ``<table>/_commits/``, has a row per branch of each snapshot:
-(commit_id, committed_at, operation, run_id, branch_id, path, added_records, total_records, schema). A branch that a commit leaves alone points at its
-older folders, so a merge rewrites the delta's branches only. Each folder keeps the schema that it was written with; a read casts all of them to the unified one, so a table survives wider
-types and columns that come late. A snapshot without rows has one log row without a path. Data are written before the log row; one writer per table.
+Data of a commit lie in ``<table>/data/commit_id=<token>/branch_id=B/``, rows ordered by key hash where the table has one, so a file covers a short range of hashes. The log,
+``<table>/_log/``, has one entry per commit, whose rows are actions: the commit itself, what it added per branch, files added (with rows, bytes, range of hashes and their schema) and files removed. A
+snapshot is what the entries up to its number leave, so a merge adds and removes the files that it rewrites and no others, and older snapshots stay readable. A read casts files of older
+schemas to the unified one.
+
+Several writers: an entry is written whole and then put under the next number only if that is free. Who comes second looks whether the branches that it has read are as they were; if so it takes the next
+number, else it starts again. From time to time, and when snapshots expire, the actions so far go into a checkpoint; a pointer is switched to it in one step, and entries up to its number count no more. Entries
+and checkpoints that a pointer before last referred to are deleted then, so a reader that has just read the last pointer still finds its files. Pointers are numbered and put like entries, so of two checkpoints made at the same time one is made anew. The folder must be one whose renames are atomic (HDFS, a shared disk).
 """
 
 from __future__ import annotations
 
-from datetime import datetime
-
+import contextlib
+import json
+import os
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 from functools import reduce
+from typing import NamedTuple
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from branchlake.defs import HASH
 from branchlake.functions.schema import cast_to, fill_void, normalize_columns, unify_schemas
-from branchlake.operators.merge import carry_forward, check_unique, merge_keys, merge_upsert
+from branchlake.operators.merge import carry_forward, check_unique, cluster_by_hash, keyed_join, merge_impact, merge_keys, merge_upsert
 
-COMMITS = (
-    "commit_id bigint, committed_at timestamp_ntz, operation string, run_id string, branch_id bigint, path string, "
-    "added_records bigint, total_records bigint, schema string"
+#: one row an action; ``kind``: commit, branch (rows that a commit added to it), add and remove (files), run (of an expired commit)
+ACTIONS = (
+    "commit_id bigint, kind string, committed_at timestamp_ntz, operation string, run_id string, branch_id bigint, added_records bigint, total_records bigint, "
+    "path string, bytes bigint, low string, high string, schema string"
 )
-#: folder of rows without a branch
-NO_BRANCH = "__HIVE_DEFAULT_PARTITION__"
+_FIELDS = [c.split()[0] for c in ACTIONS.split(", ")]
+_AT = "%Y-%m-%dT%H:%M:%S.%f"
 PROTECTED = frozenset({"etl_control", "etl_run_log", "etl_dq_results", "control_state"})
 
 
+class CommitConflict(RuntimeError):
+    """Other writers changed the same branches again and again."""
+
+
+class Swept(NamedTuple):
+    files: int
+    bytes: int
+    failed: list[tuple[str, str]]
+
+
+@dataclass
+class State:
+    """A snapshot: its number (0: none yet), its live files as actions, and the schema of its last commit."""
+
+    version: int
+    files: list[dict]
+    schema: str | None
+
+
+@dataclass
+class Change:
+    """What a commit does. ``read``: branches whose files must still be the ones it has seen; ``replaces``: all files live at the time of the commit go."""
+
+    adds: list[dict]
+    schema: str
+    added: dict
+    removes: list[str] = field(default_factory=list)
+    read: set | None = None
+    replaces: bool = False
+
+
 class Lake:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, file_rows: int = 2_000_000, tries: int = 20, checkpoint_every: int = 20):
+        """``file_rows``: most rows of a file; ``tries``: attempts of a merge that others keep overtaking; ``checkpoint_every``: entries after which the log is gathered."""
+        self.spark, self.root, self.file_rows, self.tries, self.checkpoint_every = spark, root.rstrip("/"), file_rows, tries, checkpoint_every
 
     # ---- files, through the Hadoop file system of the root
     def _fs(self, path: str):
@@ -45,105 +92,337 @@ class Lake:
         fs, p = self._fs(path)
         return fs.delete(p, True)
 
+    def _names(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        try:
+            return [s.getPath().getName() for s in fs.listStatus(p)]
+        except Py4JJavaError as e:
+            if "FileNotFoundException" in e.java_exception.getClass().getName():
+                return []
+            raise
+
+    def _text(self, path: str) -> str | None:
+        fs, p = self._fs(path)
+        try:
+            stream = fs.open(p)
+        except Py4JJavaError as e:
+            if "FileNotFoundException" in e.java_exception.getClass().getName():
+                return None
+            raise
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _put(self, path: str, text: str) -> bool:
+        """Write a small file whole under its name, in one step, if the name is free; tells whether it was."""
+        folder, name = path.rsplit("/", 1)
+        spare = f"{folder}/.{name}-{uuid.uuid4().hex}"
+        fs, p = self._fs(spare)
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        try:
+            if fs.getScheme() == "file":  # whose rename replaces a file of that name
+                os.link(p.toUri().getPath(), self._fs(path)[1].toUri().getPath())
+            else:
+                jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
+                how = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+                one = gateway.new_array(how, 1)
+                one[0] = how.NONE
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(p, self._fs(path)[1], one)
+        except FileExistsError:
+            return False
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+                return False
+            raise
+        finally:
+            self.delete(spare)
+        return True
+
+    def has(self, table: str) -> bool:
+        return self.exists(f"{self.root}/{table}/_log")
+
     def tables(self) -> list[str]:
-        if not self.exists(self.root):
-            return []
-        fs, p = self._fs(self.root)
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and self.exists(f"{self.root}/{s.getPath().getName()}/_commits"))
+        return sorted(t for t in self._names(self.root) if self.has(t))
 
     # ---- commit log
+    def _pointer(self, table: str) -> dict:
+        """The last pointer: where the log's checkpoint lies (``path``) and which number it covers (``version``)."""
+        folder = f"{self.root}/{table}/_log"
+        for _ in range(self.tries):
+            last = max((n for n in self._names(folder) if n.startswith("pointer-")), default=None)
+            text = self._text(f"{folder}/{last}") if last else '{"n": 0, "version": 0, "before": 0}'
+            if text is not None:
+                return json.loads(text)
+        raise CommitConflict(f"the pointer of {table} moves faster than it can be read")
+
+    def _entries(self, table: str) -> list[int]:
+        return sorted(int(n[:20]) for n in self._names(f"{self.root}/{table}/_log") if n.endswith(".json") and n[:20].isdigit())
+
+    def _log(self, table: str) -> tuple[dict, list[dict]]:
+        """The pointer, and the actions of the entries after it, which are few."""
+        folder = f"{self.root}/{table}/_log"
+        for _ in range(self.tries):
+            pointer = self._pointer(table)
+            texts = [self._text(f"{folder}/{n:020d}.json") for n in self._entries(table) if n > pointer["version"]]
+            if None not in texts and pointer == self._pointer(table):
+                return pointer, [json.loads(line) for t in texts for line in t.splitlines()]
+        raise CommitConflict(f"the log of {table} is truncated faster than it can be read")
+
+    def actions(self, table: str) -> DataFrame:
+        """All actions that the log still has."""
+        pointer, rows = self._log(table)
+        new = self.spark.createDataFrame([tuple(datetime.strptime(r[c], _AT) if c == "committed_at" and r.get(c) else r.get(c) for c in _FIELDS) for r in rows], ACTIONS)
+        return self._gathered(table, pointer).unionByName(new) if pointer["version"] else new
+
+    def _gathered(self, table: str, pointer: dict) -> DataFrame:
+        return self.spark.read.schema(ACTIONS).parquet(f"{self.root}/{table}/_log/{pointer['path']}")
+
     def commits(self, table: str) -> DataFrame:
-        path = f"{self.root}/{table}/_commits"
-        return self.spark.read.schema(COMMITS).parquet(path) if self.exists(path) else self.spark.createDataFrame([], COMMITS)
+        """(commit_id, committed_at, operation, run_id, branch_id, added_records, total_records): a row per commit, with the table's rows after it, and one per branch that it added to."""
+        return self.actions(table).where("kind IN ('commit', 'branch')").select("commit_id", "committed_at", "operation", "run_id", "branch_id", "added_records", "total_records")
 
     def snapshots(self, table: str) -> DataFrame:
         """One row per snapshot, newest first, with the current flag."""
         per = self.commits(table).groupBy("commit_id").agg(
             F.max("committed_at").alias("committed_at"), F.max("operation").alias("operation"), F.max("run_id").alias("run_id"),
-            F.sum("added_records").alias("added_records"), F.sum("total_records").alias("total_records"),
+            F.coalesce(F.sum("added_records"), F.lit(0)).alias("added_records"), F.max("total_records").alias("total_records"),
         )
         latest = per.agg(F.max("commit_id").alias("latest"))
         return per.join(F.broadcast(latest)).select(*per.columns, (F.col("commit_id") == F.col("latest")).alias("is_current")).orderBy(F.desc("commit_id"))
 
-    def _current(self, table: str, snapshot: int | None = None) -> list:
-        log = self.commits(table)
-        if snapshot is None:
-            top = log.agg(F.max("commit_id").alias("c")).first()["c"]
-        else:
-            top = snapshot
-        return [] if top is None else log.where(F.col("commit_id") == top).collect()  # one row per branch and folder
-
-    def _next(self, table: str) -> int:
-        return (self.commits(table).agg(F.max("commit_id").alias("c")).first()["c"] or 0) + 1
-
-    def _commit(self, table: str, commit: int, operation: str, run_id: str, at: datetime | None, df: DataFrame, kept: list, added: dict | None = None) -> int:
-        """Write the rows, then the log: a row per written branch and one per kept folder. ``added``: counts by branch where they are not those of the written rows."""
-        schema, fresh = _ddl(df), f"{self.root}/{table}/data/commit_id={commit}"
-        df.write.partitionBy("branch_id").parquet(fresh)
-        at, rows = at or datetime.now(), []
-        counts = self._read_paths([fresh], schema).groupBy("branch_id").count().collect() if self._has_files(fresh) else []  # one row per branch
-        for r in counts:
-            b, n = r["branch_id"], r["count"]
-            rows.append((commit, at, operation, run_id, b, f"{fresh}/branch_id={NO_BRANCH if b is None else b}", n if added is None else added.get(b, 0), n, schema))
-        rows += [(commit, at, operation, run_id, k["branch_id"], k["path"], 0, k["total_records"], k["schema"]) for k in kept if k["path"]]
-        rows = rows or [(commit, at, operation, run_id, None, None, 0, 0, schema)]
-        self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}/_commits")
-        return commit
-
-    def _has_files(self, path: str) -> bool:
-        fs, p = self._fs(path)
-        return any(f.isDirectory() for f in fs.listStatus(p))
-
-    def _read_paths(self, paths: list[str], schema: str) -> DataFrame:
-        base = paths[0].split("/commit_id=")[0]
-        df = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
-        return df.drop("commit_id").withColumn("branch_id", F.col("branch_id").cast("bigint"))
-
-    # ---- reads
-    def _read_rows(self, rows: list, chosen: list) -> DataFrame:
-        """The folders of ``chosen`` log rows under the unified schema of ``rows``, the snapshot's; one scan for each schema."""
-        kinds = list(dict.fromkeys(r["schema"] for r in sorted(rows, key=lambda r: int((r["path"] or "commit_id=0").split("commit_id=")[1].split("/")[0]))))
-        unified = fill_void(unify_schemas([T.StructType.fromDDL(k) for k in kinds]))
-        by_schema = {k: [r["path"] for r in chosen if r["path"] and r["schema"] == k] for k in kinds}
-        parts = [cast_to(self._read_paths(paths, k), unified) for k, paths in by_schema.items() if paths]
+    def _state(self, table: str, snapshot: int | None = None) -> State:
+        pointer, rows = self._log(table)
+        found: list[dict] = []
+        if pointer["version"]:
+            old = self._gathered(table, pointer).where("kind IN ('commit', 'add', 'remove')")
+            old = old if snapshot is None else old.where(F.col("commit_id") <= snapshot)
+            live = old.where("kind = 'add'").join(old.where("kind = 'remove'").select("path"), "path", "left_anti").unionByName(old.where("kind = 'commit'"))
+            found = [r.asDict() for r in live.collect()]  # one row a live file or snapshot
+        found += [r for r in rows if snapshot is None or r["commit_id"] <= snapshot]
+        heads = {r["commit_id"]: r["schema"] for r in found if r["kind"] == "commit"}
+        if not heads or snapshot is not None and snapshot not in heads:
+            return State(0 if snapshot is not None else max([pointer["version"], *heads]), [], None)
+        gone = {r["path"] for r in found if r["kind"] == "remove"}
+        files = sorted((r for r in found if r["kind"] == "add" and r["path"] not in gone), key=lambda r: (r["commit_id"], r["path"]))
+        return State(max(heads), files, heads[max(heads)])
+
+    def files(self, table: str, snapshot_id: int | None = None) -> DataFrame:
+        """The live files of a snapshot: (path, branch_id, records, bytes, low, high, commit_id), the last being the commit that wrote them."""
+        rows = [(r["path"], r["branch_id"], r["added_records"], r["bytes"], r["low"], r["high"], r["commit_id"]) for r in self._state(table, snapshot_id).files]
+        return self.spark.createDataFrame(rows, "path string, branch_id bigint, records bigint, bytes bigint, low string, high string, commit_id bigint")
+
+    def _commit(self, table: str, operation: str, run_id: str, at: datetime | None, make: Callable[[State], Change]) -> int:
+        for _ in range(self.tries):
+            state = self._state(table)
+            change = make(state)
+            while True:
+                number = state.version + 1
+                if self._put(f"{self.root}/{table}/_log/{number:020d}.json", self._entry(number, operation, run_id, at or datetime.now(), state, change)):
+                    if self._pointer(table)["version"] < number:
+                        self._gather_sometimes(table)
+                        return number
+                    self.delete(f"{self.root}/{table}/_log/{number:020d}.json")  # the log was gathered beyond this number meanwhile
+                newer = self._state(table)
+                if change.read is not None and _seen(newer, change.read) != _seen(state, change.read):
+                    for folder in {f["path"].rsplit("/", 2)[0] for f in change.adds}:
+                        self.delete(f"{self.root}/{table}/{folder}")
+                    break
+                state = newer
+        raise CommitConflict(f"{operation} of {table} was overtaken {self.tries} times")
+
+    def _entry(self, number: int, operation: str, run_id: str, at: datetime, state: State, change: Change) -> str:
+        head = {"commit_id": number, "committed_at": at.strftime(_AT), "operation": operation, "run_id": run_id}
+        gone = {f["path"] for f in state.files} if change.replaces else set(change.removes)
+        total = sum(f["added_records"] for f in state.files if f["path"] not in gone) + sum(f["added_records"] for f in change.adds)
+        rows = [head | {"kind": "commit", "total_records": total, "schema": change.schema}]
+        rows += [head | {"kind": "branch", "branch_id": b, "added_records": n} for b, n in change.added.items()]
+        rows += [{"commit_id": number, "kind": "add", **f} for f in change.adds]
+        rows += [{"commit_id": number, "kind": "remove", "branch_id": f["branch_id"], "path": f["path"]} for f in state.files if f["path"] in gone]
+        return "\n".join(json.dumps({c: r.get(c) for c in _FIELDS}) for r in rows)
+
+    def _gather_sometimes(self, table: str) -> None:
+        covered = self._pointer(table)["version"]
+        if sum(n > covered for n in self._entries(table)) >= self.checkpoint_every:
+            with contextlib.suppress(Exception):  # the commit stands, a later one tries again
+                self._gather(table, None)
+
+    def _gather(self, table: str, kept: list[int] | None) -> int:
+        """Checkpoint the log: with all snapshots, or those in ``kept`` and the current one; returns how many went.
+
+        Steps: write the checkpoint, put the next pointer if nobody else has, delete what the pointer before last referred to. A crash before the pointer is put changes nothing, one after it leaves files
+        that nothing refers to.
+        """
+        for _ in range(self.tries):
+            before = self._pointer(table)
+            path, version, went = self._checkpoint(table, kept)
+            if self._switch(table, {"n": before["n"] + 1, "version": version, "path": path, "before": before["version"]}):
+                self._tidy(table)
+                return went
+            self.delete(f"{self.root}/{table}/_log/{path}")
+        raise CommitConflict(f"the log of {table} was gathered by others {self.tries} times")
+
+    def _checkpoint(self, table: str, kept: list[int] | None) -> tuple[str, int, int]:
+        folder = f"{self.root}/{table}/_log"
+        rows, version = self.actions(table), self._state(table).version
+        rows = rows.where(F.col("commit_id") <= version)
+        went = 0
+        if kept is not None:
+            kept = sorted({*kept, version})
+            stays = F.col("commit_id").isin(kept)
+            heads = rows.where("kind IN ('commit', 'branch')")
+            runs = heads.where(~stays).select("run_id").unionAll(rows.where("kind = 'run'").select("run_id")).distinct()
+            went = heads.where(~stays).select("commit_id").distinct().count()
+            ends = rows.where("kind = 'remove'").select("path", F.col("commit_id").alias("end"))
+            life = rows.where("kind = 'add'").join(ends, "path", "left")
+            snapshots = F.array(*[F.lit(k).cast("bigint") for k in kept])
+            alive = life.where(F.exists(snapshots, lambda s: (s >= F.col("commit_id")) & (F.col("end").isNull() | (s < F.col("end"))))).drop("end")
+            ended = rows.where("kind = 'remove'").join(alive.select("path"), "path", "left_semi")
+            remembered = runs.select(F.lit(0).cast("bigint").alias("commit_id"), F.lit("run").alias("kind"), "run_id")
+            rows = heads.where(stays).unionByName(alive).unionByName(ended).unionByName(remembered, allowMissingColumns=True)
+        path = f"checkpoint-{version:020d}-{uuid.uuid4().hex}"
+        rows.select(*_FIELDS).coalesce(1).write.parquet(f"{folder}/{path}")
+        return path, version, went
+
+    def _switch(self, table: str, pointer: dict) -> bool:
+        return self._put(f"{self.root}/{table}/_log/pointer-{pointer['n']:020d}", json.dumps(pointer))
+
+    def _tidy(self, table: str) -> None:
+        """Delete the entries that the checkpoint before covers, and checkpoints and pointers older than that."""
+        folder, pointer = f"{self.root}/{table}/_log", self._pointer(table)
+        for name in self._names(folder):
+            old_entry = name.endswith(".json") and name[:20].isdigit() and int(name[:20]) <= pointer["before"]
+            old_checkpoint = name.startswith("checkpoint-") and int(name[11:31]) < pointer["before"]
+            old_pointer = name.startswith("pointer-") and int(name[8:]) < pointer["n"] - 1
+            if old_entry or old_checkpoint or old_pointer:
+                self.delete(f"{folder}/{name}")
+
+    # ---- files of a commit
+    def _write(self, table: str, df: DataFrame) -> tuple[list[dict], str]:
+        """Write the rows, in order of their hashes if they have one; returns the files as actions, and the schema."""
+        token = uuid.uuid4().hex
+        fresh, schema = f"{self.root}/{table}/data/commit_id={token}", _loose(fill_void(df.schema)).json()
+        df = cast_to(df, T.StructType.fromJson(json.loads(schema))) if any(isinstance(f.dataType, T.NullType) for f in df.schema.fields) else df
+        rows = cluster_by_hash(df) if HASH in df.columns else df
+        rows.write.option("maxRecordsPerFile", self.file_rows).partitionBy("branch_id").parquet(fresh)
+        if not any(n.startswith("branch_id=") for n in self._names(fresh)):
+            return [], schema
+        read = self._read_paths(table, [f"data/commit_id={token}"], schema, "__file", "__bytes")
+        edge = F.hex(HASH) if HASH in df.columns and isinstance(df.schema[HASH].dataType, T.BinaryType) else F.lit(None).cast("string")
+        per = read.groupBy("__file").agg(F.first("branch_id").alias("branch_id"), F.max("__bytes").alias("bytes"), F.count(F.lit(1)).alias("n"), F.min(edge).alias("low"), F.max(edge).alias("high"), F.count_if(edge.isNull()).alias("bare"))
+        adds = []
+        for r in per.collect():  # one row a file
+            known = {"low": r["low"], "high": r["high"]} if not r["bare"] else {}
+            adds.append({"branch_id": r["branch_id"], "added_records": r["n"], "path": _inside(r["__file"]), "bytes": r["bytes"], "schema": schema, **known})
+        return sorted(adds, key=lambda f: f["path"]), schema
+
+    def _read_paths(self, table: str, paths: list[str], schema: str, file: str | None = None, size: str | None = None) -> DataFrame:
+        home = f"{self.root}/{table}"
+        df = self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).option("basePath", f"{home}/data").parquet(*[f"{home}/{p}" for p in paths])
+        more = [F.col(c).alias(a) for c, a in (("_metadata.file_path", file), ("_metadata.file_size", size)) if a]
+        return df.select("*", *more).drop("commit_id").withColumn("branch_id", F.col("branch_id").cast("bigint"))
+
+    def _frame(self, table: str, state: State, chosen: list[dict], located: bool = False) -> DataFrame:
+        """The rows of ``chosen`` files under the unified schema of the snapshot; one scan for each schema. ``located``: with each row's file and its size."""
+        kinds = list(dict.fromkeys(f["schema"] for f in state.files)) or [state.schema]
+        unified = fill_void(unify_schemas([T.StructType.fromJson(json.loads(k)) for k in kinds]))
+        if located:
+            unified = T.StructType([*unified.fields, T.StructField("__file", T.StringType()), T.StructField("__bytes", T.LongType())])
+        extra = ("__file", "__bytes") if located else ()
+        parts = [cast_to(self._read_paths(table, paths, k, *extra), unified) for k in kinds if (paths := [f["path"] for f in chosen if f["schema"] == k])]
         return reduce(DataFrame.unionAll, parts) if parts else self.spark.createDataFrame([], unified)
 
+    # ---- reads
     def read(self, table: str, snapshot_id: int | None = None, branches: list[int | None] | None = None, columns: list[str] | None = None) -> DataFrame:
-        """Current or given snapshot; branches prune folders, columns prune the scan."""
-        rows = self._current(table, snapshot_id)
-        if not rows:
+        """Current or given snapshot; branches prune files, columns prune the scan."""
+        state = self._state(table, snapshot_id)
+        if state.schema is None:
             raise ValueError(f"no snapshot of {table}")
-        df = self._read_rows(rows, [r for r in rows if branches is None or r["branch_id"] in branches])
+        df = self._frame(table, state, [f for f in state.files if branches is None or f["branch_id"] in branches])
         return df.select(*columns) if columns else df
 
+    def changed_files(self, table: str, old: int, new: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """The rows of either snapshot that lie in files which the other lacks, both under the schema of both. All other rows are the same on both sides, and are not read."""
+        a, b = self._state(table, old), self._state(table, new)
+        if a.schema is None or b.schema is None:
+            raise ValueError(f"no such snapshots of {table}")
+        mine, yours = ({f["path"] for f in s.files} for s in (a, b))
+        both = State(0, [*a.files, *(f for f in b.files if f["path"] not in mine)], b.schema)
+        return self._frame(table, both, [f for f in a.files if f["path"] not in yours]), self._frame(table, both, [f for f in b.files if f["path"] not in mine])
+
     # ---- writes
     def replace(self, table: str, df: DataFrame, run_id: str = "", at: datetime | None = None) -> int:
-        return self._commit(table, self._next(table), "replace", run_id, at, normalize_columns(df), [])
+        adds, schema = self._write(table, normalize_columns(df))
+        return self._commit(table, "replace", run_id, at, lambda _: Change(adds, schema, _per_branch(adds), replaces=True))
 
     def append(self, table: str, df: DataFrame, run_id: str = "", at: datetime | None = None) -> int:
-        return self._commit(table, self._next(table), "append", run_id, at, normalize_columns(df), self._current(table))
+        adds, schema = self._write(table, normalize_columns(df))
+        return self._commit(table, "append", run_id, at, lambda _: Change(adds, schema, _per_branch(adds)))
 
     def merge(self, table: str, delta: DataFrame, keys: list[str], run_id: str = "", at: datetime | None = None, keep_history: bool = True) -> int:
-        """One commit however large the delta is; branches the delta does not touch keep their folders. The delta is written once, checked for repeated keys and counted by branch there."""
-        delta, rows = normalize_columns(delta), self._current(table)
-        if not rows:
-            check_unique(delta, merge_keys(delta, delta, keys))
-            return self.replace(table, delta, run_id, at)
-        commit = self._next(table)
-        staged = f"{self.root}/{table}/_staged/commit_id={commit}"
-        delta.write.mode("overwrite").parquet(staged)
+        """One commit however large the delta is. Only files that hold a key of the delta are rewritten; the delta is written once, checked for repeated keys and counted by branch there.
+
+        Keys may be null in part and are matched as values then, the branch too.
+        """
+        delta = normalize_columns(delta)
+        staged = f"{self.root}/{table}/_staged/{uuid.uuid4().hex}"
+        delta.write.parquet(staged)
         delta = self.spark.read.schema(delta.schema).parquet(staged)
+        unique: set[tuple] = set()
+
+        def make(state: State) -> Change:
+            if state.schema is None:
+                check_unique(delta, merge_keys(delta, delta, keys))
+                adds, schema = self._write(table, delta)
+                return Change(adds, schema, added, read=set(added))
+            near = [f for f in state.files if f["branch_id"] in added]
+            on = merge_keys(self._frame(table, state, []), delta, keys)
+            if tuple(on) not in unique:
+                check_unique(delta, on)
+                unique.add(tuple(on))
+            hit = self._matched(table, state, near, delta, on)
+            target, new = self._frame(table, state, hit), delta
+            if keep_history and "insert_at" in target.columns and "insert_at" in delta.columns:
+                new = carry_forward(delta, target, on)
+            adds, schema = self._write(table, merge_upsert(target, new, on))
+            return Change(adds, schema, added, [f["path"] for f in hit], set(added))
+
         try:
             added = {r["branch_id"]: r["count"] for r in delta.groupBy("branch_id").count().collect()}  # one row per branch
-            target = self._read_rows(rows, [r for r in rows if r["branch_id"] in added])
-            on = merge_keys(target, delta, keys)
-            check_unique(delta, on)
-            if keep_history and "insert_at" in target.columns and "insert_at" in delta.columns:
-                delta = carry_forward(delta, target, on)
-            return self._commit(table, commit, "merge", run_id, at, merge_upsert(target, delta, on), [r for r in rows if r["branch_id"] not in added], added)
+            return self._commit(table, "merge", run_id, at, make)
         finally:
             self.delete(staged)
 
+    def _in_range(self, near: list[dict], delta: DataFrame) -> list[dict]:
+        """Files whose range holds a hash of the delta; those without a range stay. A file joins by the first bytes of the hashes that it covers, which are few where rows are ordered."""
+        bounds = [(f["path"], f["low"], f["high"]) for f in near if f["low"] is not None]
+        if not bounds:
+            return near
+        byte = lambda c: F.conv(F.substring(c, 1, 2), 16, 10).cast("int")
+        files = self.spark.createDataFrame(bounds, "path string, low string, high string").withColumn("byte", F.explode(F.sequence(byte("low"), byte("high"))))
+        keys = delta.select(F.hex(HASH).alias("h")).withColumn("byte", byte("h"))
+        hit = {r["path"] for r in files.join(keys, "byte").where("h BETWEEN low AND high").select("path").distinct().collect()}
+        return [f for f in near if f["low"] is None or f["path"] in hit]
+
+    def _matched(self, table: str, state: State, near: list[dict], delta: DataFrame, on: list[str]) -> list[dict]:
+        """The files that hold a key of the delta: first by their ranges, then by their key columns."""
+        if on == [HASH]:
+            near = self._in_range(near, delta)
+        if not near:
+            return []
+        rows = self._frame(table, state, near, located=True).select(*on, "__file")
+        hit = {_inside(r["__file"]) for r in keyed_join(rows, delta.select(*on), on, "left_semi").select("__file").distinct().collect()}  # files
+        return [f for f in near if f["path"] in hit]
+
+    def impact(self, table: str, delta: DataFrame, keys: list[str]) -> DataFrame:
+        """What a merge of this delta would match, change, add and rewrite, without doing it."""
+        delta, state = normalize_columns(delta), self._state(table)
+        return merge_impact(self._frame(table, state, state.files, located=True), delta, merge_keys(self._frame(table, state, []), delta, keys))
+
     # ---- maintenance
     def drop_table(self, table: str, system: bool = False) -> None:
         if table in PROTECTED and not system:
@@ -158,57 +437,49 @@ class Lake:
 
     def seen(self, table: str, run_id: str) -> bool:
         """Whether a run has committed to the table, also if its snapshot has gone since."""
-        path = f"{self.root}/{table}/_runs"
-        gone = self.spark.read.schema("run_id string").parquet(path) if self.exists(path) else self.spark.createDataFrame([], "run_id string")
-        return not self.commits(table).select("run_id").unionAll(gone).where(F.col("run_id") == run_id).isEmpty()
+        return self.has(table) and not self.actions(table).where(F.col("kind").isin("commit", "run") & (F.col("run_id") == run_id)).isEmpty()
 
     def keep_snapshots(self, table: str, kept: DataFrame) -> int:
-        """Rewrite the commit log, in one file, with the snapshots in ``kept`` (commit_id); returns how many went. Their run ids are remembered. Data go with ``sweep``."""
-        log, ids = self.commits(table), kept.select("commit_id").distinct()
-        gone = log.join(ids, "commit_id", "left_anti")
-        went = gone.select("commit_id").distinct().count()
-        gone.select("run_id").distinct().coalesce(1).write.mode("append").parquet(f"{self.root}/{table}/_runs")
-        new, old = f"{self.root}/{table}/_commits_new", f"{self.root}/{table}/_commits"
-        self.delete(new)
-        log.join(ids, "commit_id", "left_semi").coalesce(1).write.parquet(new)
-        self.delete(old)
-        fs, p = self._fs(new)
-        fs.rename(p, self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old))
-        self.spark.catalog.refreshByPath(old)
-        return went
+        """Expire all snapshots but those in ``kept`` (commit_id) and the current one; returns how many went. Their run ids are remembered. Data go with ``sweep``."""
+        return self._gather(table, [r["commit_id"] for r in kept.select("commit_id").distinct().collect()])  # one row a snapshot
 
     def listing(self, table: str) -> DataFrame:
-        """(path, folder, bytes) of the data files on disk."""
-        path = f"{self.root}/{table}/data"
-        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select("path", F.col("length").alias("bytes"))
-        return files.withColumn("folder", F.regexp_extract("path", r"(commit_id=\d+/branch_id=[^/]+)/[^/]+$", 1))
-
-    def sweep(self, table: str, dry_run: bool = False) -> tuple[int, int]:
-        """Delete data folders that no snapshot refers to; returns files and bytes. The log is never touched."""
-        referenced = self.commits(table).select(F.regexp_extract("path", r"(commit_id=\d+/branch_id=[^/]+)$", 1).alias("folder"))
-        gone = orphan_files(self.listing(table), referenced)
-        total = gone.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first()
-        if not dry_run:
-            for r in gone.select("folder").distinct().collect():  # folders, not files
-                self.delete(f"{self.root}/{table}/data/{r['folder']}")
-        return total["n"], total["b"]
+        """(path, bytes, modified) of the data files on disk."""
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(f"{self.root}/{table}/data")
+        return files.select(F.regexp_extract("path", r"(data/commit_id=[^/]+/branch_id=[^/]+/[^/]+)$", 1).alias("path"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+
+    def sweep(self, table: str, dry_run: bool = False, older_than: timedelta = timedelta(days=1)) -> Swept:
+        """Delete data files that no snapshot refers to and that are ``older_than``, which must be longer than a commit takes: data of a commit under way are in no snapshot yet.
+
+        Files go several at a time; one that can't be deleted is told and ends nothing. The log is never touched.
+        """
+        if not self.exists(f"{self.root}/{table}/data"):
+            return Swept(0, 0, [])
+        # Spark lists the folder here, before the log is read: what is committed in between is referred to
+        listing = self.listing(table).where(F.col("modified") <= F.current_timestamp() - older_than)
+        gone = orphan_files(listing, self.actions(table).where("kind = 'add'").select("path"))
+        if dry_run:
+            total = gone.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first()
+            return Swept(total["n"], total["b"], [])
+
+        def one(r) -> tuple[str, int, str | None]:
+            try:
+                return r["path"], r["bytes"], None if self.delete(f"{self.root}/{table}/{r['path']}") else "not deleted"
+            except Exception as e:  # one file must not end the others
+                return r["path"], 0, str(e)[:300]
+
+        with ThreadPoolExecutor(8) as pool:
+            done = list(pool.map(one, gone.toLocalIterator()))
+        return Swept(sum(e is None for _, _, e in done), sum(b for _, b, e in done if e is None), [(p, e) for p, _, e in done if e is not None])
 
     # ---- exploration
     def list_tables(self, categories: DataFrame | None = None) -> DataFrame:
         """Rows, files, bytes, snapshots and last commit of each table, data tables first."""
-        parts = []
+        rows = []
         for t in self.tables():
-            log = self.commits(t)
-            now = log.join(log.agg(F.max("commit_id").alias("commit_id")), "commit_id").select(F.regexp_extract("path", r"(commit_id=\d+/branch_id=[^/]+)$", 1).alias("folder")).distinct()
-            size = self.listing(t).join(now, "folder", "left_semi")
-            head = self.snapshots(t).agg(F.count(F.lit(1)).alias("snapshots"), F.max("committed_at").alias("updated"), F.max_by("total_records", "commit_id").alias("rows"))
-            disk = size.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
-            parts.append(head.crossJoin(disk).select(F.lit(t).alias("table"), F.lit(t in PROTECTED).alias("is_system"), "rows", "files", "bytes", "snapshots", "updated"))
-        if not parts:
-            return self.spark.createDataFrame([], "table string, is_system boolean, rows bigint, files bigint, bytes bigint, snapshots bigint, updated timestamp_ntz, category string")
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionAll(p)
+            files, head = self._state(t).files, self.snapshots(t).agg(F.count(F.lit(1)).alias("n"), F.max("committed_at").alias("at"), F.max_by("total_records", "commit_id").alias("rows")).first()
+            rows.append((t, t in PROTECTED, head["rows"], len(files), sum(f["bytes"] for f in files), head["n"], head["at"]))
+        out = self.spark.createDataFrame(rows, "table string, is_system boolean, rows bigint, files bigint, bytes bigint, snapshots bigint, updated timestamp_ntz")
         return with_category(out, categories).orderBy("is_system", "table") if categories is not None else out.withColumn("category", F.lit(None).cast("string")).orderBy("is_system", "table")
 
     def table_overview(self, table: str) -> dict:
@@ -217,8 +488,29 @@ class Lake:
         return {"fields": [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields], "partitions": ["branch_id"], "history": self.snapshots(table)}
 
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+def _loose(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed at every level, as Parquet reads it back."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _loose(f.dataType), True) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_loose(kind.elementType), True)
+    return T.MapType(_loose(kind.keyType), _loose(kind.valueType), True) if isinstance(kind, T.MapType) else kind
+
+
+def _seen(state: State, branches: set) -> set[str]:
+    return {f["path"] for f in state.files if f["branch_id"] in branches}
+
+
+def _per_branch(adds: list[dict]) -> dict:
+    found: dict = {}
+    for f in adds:
+        found[f["branch_id"]] = found.get(f["branch_id"], 0) + f["added_records"]
+    return found
+
+
+def _inside(path: str) -> str:
+    """A file's path below its table."""
+    return "data/" + unquote(path).rsplit("/data/", 1)[1]
 
 
 def with_category(tables: DataFrame, categories: DataFrame) -> DataFrame:
@@ -226,9 +518,9 @@ def with_category(tables: DataFrame, categories: DataFrame) -> DataFrame:
     return tables.join(categories, "table", "left")
 
 
-def orphan_files(listing: DataFrame, referenced: DataFrame) -> DataFrame:
-    """Files on disk whose folder no snapshot refers to."""
-    return listing.join(referenced.select("folder").distinct(), "folder", "left_anti")
+def orphan_files(listing: DataFrame, referenced: DataFrame, by: str = "path") -> DataFrame:
+    """Files (or folders) on disk that no snapshot refers to."""
+    return listing.join(referenced.select(by).distinct(), by, "left_anti")
 
 
 def pick_snapshots(commits: DataFrame, day: str) -> DataFrame:
