@@ -55,6 +55,11 @@ def row_hash(df: DataFrame, columns: list[str]) -> Column:
     return F.unhex(F.md5(fingerprint(df, columns)))
 
 
+def key_hash(df: DataFrame, columns: list[str]) -> Column:
+    """16 bytes that stand for the key in a shuffle."""
+    return row_hash(df, columns)
+
+
 def check_stable(df: DataFrame, keys: list[str]) -> None:
     """Floats and decimals with a fraction print differently from run to run, so they are no keys."""
     for k in keys:
@@ -113,11 +118,20 @@ def naive_utc(c: Column) -> Column:
 
 
 def safe_cast(df: DataFrame, name: str, kind: str) -> DataFrame:
-    """Cast a text column to ``kind`` if every value fits, else to the first of INFERRED that all fit, else keep the text; one aggregate decides."""
+    """Cast a text column to ``kind`` if every value fits, else to the first of INFERRED that gives every text back as it was, else keep the text; one aggregate decides.
+
+    So '007' stays a text unless a number is asked for, and no digit is lost to a type that nobody named.
+    """
     c = F.col(f"`{name}`")
-    kinds = [kind, *(k for k in INFERRED if k != kind)]
-    lost = df.agg(*[F.count_if(c.isNotNull() & c.try_cast(k).isNull()).alias(k) for k in kinds], F.count(c).alias("values")).first()
-    fits = [k for k in kinds if not lost[k] and (k == kind or lost["values"])]
+
+    def back(k: str) -> Column:
+        cast = c.try_cast(k)
+        return canon_decimal(cast) if k.startswith("decimal") else cast.cast("string")
+
+    lost = df.agg(
+        F.count_if(c.isNotNull() & c.try_cast(kind).isNull()).alias("asked"), F.count(c).alias("values"), *[F.count_if(c.isNotNull() & ~c.eqNullSafe(back(k))).alias(k) for k in INFERRED]
+    ).first()
+    fits = [kind] if not lost["asked"] else [k for k in INFERRED if k != kind and not lost[k] and lost["values"]]
     return df.withColumn(name, c.try_cast(fits[0])) if fits else df
 
 

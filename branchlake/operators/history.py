@@ -7,8 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from branchlake.functions.keys import canon, fingerprint, fmt, row_hash
+from branchlake.functions.keys import canon, fmt, key_hash, row_hash
 from branchlake.functions.schema import business_columns
+from branchlake.sources.scratch import settled
+
+#: changed keys that a diff broadcasts at most, 16 bytes each
+BROADCAST_KEYS = 500_000
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -21,29 +25,44 @@ def _value_columns(df: DataFrame, keys: list[str]) -> list[str]:
 
 def diff_keys(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, change): updated, inserted or deleted; unchanged keys are left out. Only keys and hashes are shuffled. Keys are equal if their texts are, a null one included."""
+    j = _hashed(old, new, keys, lambda side: [F.struct(*keys).alias(f"__{side}")])
+    return j.select(*[F.coalesce(F.col("__a")[k], F.col("__b")[k]).alias(k) for k in keys], _change().alias("change")).where("change IS NOT NULL")
+
+
+def _change() -> Column:
+    return F.when(F.col("__ha").isNull(), F.lit("inserted")).when(F.col("__hb").isNull(), F.lit("deleted")).when(F.col("__ha") != F.col("__hb"), F.lit("updated"))
+
+
+def _hashed(old: DataFrame, new: DataFrame, keys: list[str], more=lambda _: []) -> DataFrame:
+    """Both sides' key hashes and row hashes next to each other."""
     cols = sorted(set(_value_columns(old, keys)) & set(_value_columns(new, keys)))
-    a, b = (df.select(fingerprint(df, keys).alias("__k"), F.struct(*keys).alias(f"__{side}"), row_hash(df, cols).alias(f"__h{side}")) for df, side in ((old, "a"), (new, "b")))
-    j = a.join(b, "__k", "full_outer")
-    change = F.when(F.col("__ha").isNull(), F.lit("inserted")).when(F.col("__hb").isNull(), F.lit("deleted")).when(F.col("__ha") != F.col("__hb"), F.lit("updated"))
-    return j.select(*[F.coalesce(F.col("__a")[k], F.col("__b")[k]).alias(k) for k in keys], change.alias("change")).where("change IS NOT NULL")
+    a, b = (df.select(key_hash(df, keys).alias("__k"), row_hash(df, cols).alias(f"__h{side}"), *more(side)) for df, side in ((old, "a"), (new, "b")))
+    return a.join(b, "__k", "full_outer")
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """One row: updated, inserted, deleted."""
     is_ = lambda c: F.count_if(F.col("change") == c)
-    return diff_keys(old, new, keys).agg(is_("updated").alias("updated"), is_("inserted").alias("inserted"), is_("deleted").alias("deleted"))
+    return _hashed(old, new, keys).select(_change().alias("change")).agg(is_("updated").alias("updated"), is_("inserted").alias("inserted"), is_("deleted").alias("deleted"))
 
 
 def collect_changed(df: DataFrame, changed: DataFrame, keys: list[str]) -> DataFrame:
-    own = changed.select(fingerprint(changed, keys).alias("__k"))
-    return df.withColumn("__k", fingerprint(df, keys)).join(own, "__k", "left_semi").drop("__k")
+    own = changed.select(key_hash(changed, keys).alias("__k"))
+    return df.withColumn("__k", key_hash(df, keys)).join(own, "__k", "left_semi").drop("__k")
 
 
 def changed_pairs(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Updated rows of both sides next to each other: keys, then old_<column> and new_<column>. One join of both sides by key text; equal hashes leave at once."""
+    """Updated rows of both sides next to each other: keys, then old_<column> and new_<column>.
+
+    Hashes of keys and rows say first which keys differ. These are written, 16 bytes each, and counted; rows are fetched for them alone, by a broadcast of the keys while they are few, so no
+    value of an unchanged row is shuffled. With more of them than that they are joined to both sides.
+    """
     cols = sorted(set(_value_columns(old, keys)) & set(_value_columns(new, keys)))
+    differ = settled(_hashed(old, new, keys).where("__ha <> __hb").select("__k").distinct())
+    differ = F.broadcast(differ) if differ.count() <= BROADCAST_KEYS else differ
     a, b = (
-        df.select(fingerprint(df, keys).alias("__k"), row_hash(df, cols).alias(f"__h{side}"), *(keys if side == "old" else []), *[F.col(c).alias(f"{side}_{c}") for c in cols]) for df, side in ((old, "old"), (new, "new"))
+        df.select(key_hash(df, keys).alias("__k"), row_hash(df, cols).alias(f"__h{side}"), *(keys if side == "old" else []), *[F.col(c).alias(f"{side}_{c}") for c in cols]).join(differ, "__k", "left_semi")
+        for df, side in ((old, "old"), (new, "new"))
     )
     return a.join(b, "__k").where("__hold <> __hnew").drop("__k", "__hold", "__hnew")
 

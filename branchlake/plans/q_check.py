@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import functions as F
 
 from branchlake.defs import TableDef
-from branchlake.functions.keys import julian_day
+from branchlake.functions.keys import fingerprint, julian_day, row_hash
 from branchlake.operators import control as C
 from branchlake.operators import explore as E
 from branchlake.operators import history as H
@@ -55,7 +55,8 @@ def j2(spark, d):
 @query("a2_dedupe_min_hash", "SELECT CAST(l_orderkey % 7 AS BIGINT) AS branch_id, l_orderkey || chr(31) || l_linenumber AS k, upper(min(md5(CAST(l_partkey AS VARCHAR)))) AS h, count(*) AS rows FROM lineitem GROUP BY ALL")
 def a2(spark, d):
     li = table(spark, d, "lineitem").withColumn("branch_id", F.col("l_orderkey") % 7)
-    return R.dedupe_min_hash(R.keyed_hashes(li, ["l_orderkey", "l_linenumber"], ["l_partkey"])).withColumn("h", F.hex("h"))
+    told = li.select("branch_id", fingerprint(li, ["l_orderkey", "l_linenumber"]).alias("k"), row_hash(li, ["l_partkey"]).alias("h"))
+    return R.dedupe_min_hash(told).withColumn("h", F.hex("h"))
 
 
 WIN = R.make_window(TableDef("ORDERS", KEY and ("o_orderkey",), "transactions", date_column="o_orderdate", date_max="2001-01-01"), {"last_date": {"value": "2000-06-30 00:00:00.000000", "kind": "datetime"}}, date(1998, 1, 1), None, date(2026, 1, 1))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Callable
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,24 +15,99 @@ from branchlake.defs import BRANCH, DERIVED_KEY, HELPER_CDC, HELPER_DATE, INJECT
 from branchlake.functions.schema import literal
 
 FETCH = 50_000
+#: rows of a range that one connection reads, and how often ranges with more are cut again
+SPLIT_ROWS, ROUNDS = 1_000_000, 6
 _COMPARE = {"<": Column.__lt__, "<=": Column.__le__, ">": Column.__gt__, ">=": Column.__ge__, "=": Column.__eq__}
 
 
 def read_source(spark: SparkSession, tdef: TableDef, branch: dict) -> DataFrame:
     """A physical table or a query of one branch. ``branch``: format jdbc with its options, or parquet with the folder ``path``; in Parquet branches a query
-    runs over views that the caller has registered."""
+    runs over views that the caller has registered.
+
+    A JDBC branch with ``split_column`` (and ``split_rows``) is read in as many disjoint ranges of that column as its rows ask for; ``where`` bounds what is read, as SQL of the source.
+    """
     if branch.get("format", "parquet") == "jdbc":
+        options = {k: str(v) for k, v in branch.items() if k not in ("format", "path", "split_column", "split_rows", "where")} | {k: str(v) for k, v in tdef.options.items()}
         table = f"{tdef.table} t" if tdef.is_query else tdef.table
-        options = {k: v for k, v in branch.items() if k not in ("format", "path")} | tdef.options
-        return spark.read.format("jdbc").option("fetchsize", FETCH).options(**options).option("dbtable", table).load()
+        wheres = [branch.get("where") or "1 = 1"]
+        if branch.get("split_column"):
+            reader = _jdbc(spark, options)
+            wheres = [r for w in wheres for r in split_ranges(reader, table, branch["split_column"], int(branch.get("split_rows", SPLIT_ROWS)), w)]
+        elif not branch.get("where"):
+            return _jdbc(spark, options)(table)
+        properties = {k: v for k, v in options.items() if k != "url"}
+        return spark.read.jdbc(options["url"], table, predicates=wheres, properties={"fetchsize": str(FETCH)} | properties)
     if tdef.is_query:
         return spark.sql(tdef.table.strip()[1:-1])
     return spark.read.parquet(f"{branch['path']}/{tdef.table.rsplit('.', 1)[-1]}.parquet")
 
 
-def read_incremental_jdbc(spark: SparkSession, url: str, table: str, new: str, updated: str, properties: dict) -> DataFrame:
-    """New rows and updated old rows as two disjoint source predicates, one partition each, so that either can use its own index."""
-    return spark.read.jdbc(url, table, predicates=[new, updated], properties={"fetchsize": str(FETCH)} | properties)
+def _jdbc(spark: SparkSession, options: dict) -> Callable[[str], DataFrame]:
+    return lambda table: spark.read.format("jdbc").option("fetchsize", FETCH).options(**options).option("dbtable", table).load()
+
+
+def read_incremental_jdbc(
+    spark: SparkSession, url: str, table: str, new: str, updated: str, properties: dict, split_column: str | None = None, split_rows: int = SPLIT_ROWS
+) -> DataFrame:
+    """New rows and updated old rows as disjoint source predicates, so that either can use its own index; each is split further by ranges of ``split_column``, where there is one."""
+    predicates = [new, updated]
+    if split_column:
+        reader = _jdbc(spark, {"url": url} | properties)
+        predicates = [r for p in predicates for r in split_ranges(reader, table, split_column, split_rows, p)]
+    return spark.read.jdbc(url, table, predicates=predicates, properties={"fetchsize": str(FETCH)} | properties)
+
+
+def split_ranges(reader: Callable[[str], DataFrame], table: str, column: str, rows: int, where: str = "1 = 1") -> list[str]:
+    """Disjoint predicates that together are ``where``, with about ``rows`` rows each: ranges of a number or time column, and its nulls.
+
+    The source tells the smallest and the largest value and the counts. Ranges of equal width that hold too many rows are cut again as wide as their share asks for, up to ``ROUNDS`` times, which follows a
+    crowded stretch of the column down to single values. All ranges of a round are counted in one query, so a large table is looked through a few times by an index on the column, and never sorted.
+    """
+    def ask(select: str, more: str = "1 = 1"):
+        return reader(f"(SELECT {select} FROM {table} WHERE ({where}) AND ({more})) bounds").first()
+
+    low, high, known, every = ask(f"MIN({column}) AS lo, MAX({column}) AS hi, COUNT({column}) AS n, COUNT(*) AS m")
+    nulls = [f"({where}) AND {column} IS NULL"] if every > known else []
+    if not known:
+        return nulls or [where]
+    done, todo = [], [(low, None, int(known))]  # half open; the last one has no end
+    for _ in range(ROUNDS):
+        cut = [c for a, b, n in todo for c in _cut(a, high if b is None else b, b is None, -(-n // rows))]
+        if len(cut) == len(todo):
+            break
+        counts = [c for k in range(0, len(cut), 200) for c in ask(", ".join(f"SUM(CASE WHEN {_between(column, a, b)} THEN 1 ELSE 0 END) AS c{i}" for i, (a, b) in enumerate(cut[k : k + 200])), _between(column, cut[k][0], cut[min(k + 200, len(cut)) - 1][1]))]
+        found = [(a, b, int(n or 0)) for (a, b), n in zip(cut, counts, strict=True)]
+        done += [f for f in found if f[2] <= rows]
+        todo = [f for f in found if f[2] > rows]
+        if not todo:
+            break
+    return [f"({where}) AND {_between(column, a, b)}" for a, b, n in sorted([*done, *todo], key=lambda f: f[0]) if n] + nulls
+
+
+def _cut(low, high, last: bool, parts: int) -> list[tuple]:
+    """``parts`` ranges of equal width from ``low`` to ``high``; of whole numbers and times no more than there are values."""
+    edges = [low]
+    for i in range(1, parts):
+        if isinstance(low, datetime):
+            edge = low + timedelta(microseconds=(high - low) // timedelta(microseconds=1) * i // parts)
+        elif isinstance(low, date):
+            edge = low + timedelta(days=(high - low).days * i // parts)
+        else:
+            edge = low + (high - low) * i // parts if isinstance(low, int) or low == int(low) and high == int(high) else low + (high - low) * i / parts
+        if edges[-1] < edge and (edge < high or last and edge <= high):
+            edges.append(edge)
+    return list(zip(edges, [*edges[1:], None if last else high], strict=True))
+
+
+def _between(column: str, low, high) -> str:
+    return f"{column} >= {_sql(low)}" + ("" if high is None else f" AND {column} < {_sql(high)}")
+
+
+def _sql(v) -> str:
+    """A literal that every JDBC driver reads."""
+    if isinstance(v, datetime):
+        return f"{{ts '{v:%Y-%m-%d %H:%M:%S.%f}'}}"
+    return f"{{d '{v:%Y-%m-%d}'}}" if isinstance(v, date) else f"{v:f}" if isinstance(v, (float, Decimal)) else str(v)
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import contextlib
 import json
-import os
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -24,7 +23,6 @@ from functools import reduce
 from typing import NamedTuple
 from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +30,7 @@ from pyspark.sql import types as T
 from branchlake.defs import HASH
 from branchlake.functions.schema import cast_to, fill_void, normalize_columns, unify_schemas
 from branchlake.operators.merge import carry_forward, check_unique, cluster_by_hash, keyed_join, merge_impact, merge_keys, merge_upsert
+from branchlake.sources.files import Files
 
 #: one row an action; ``kind``: commit, branch (rows that a commit added to it), add and remove (files), run (of an expired commit)
 ACTIONS = (
@@ -74,74 +73,11 @@ class Change:
     replaces: bool = False
 
 
-class Lake:
+class Lake(Files):
     def __init__(self, spark: SparkSession, root: str, file_rows: int = 2_000_000, tries: int = 20, checkpoint_every: int = 20):
         """``file_rows``: most rows of a file; ``tries``: attempts of a merge that others keep overtaking; ``checkpoint_every``: entries after which the log is gathered."""
-        self.spark, self.root, self.file_rows, self.tries, self.checkpoint_every = spark, root.rstrip("/"), file_rows, tries, checkpoint_every
-
-    # ---- files, through the Hadoop file system of the root
-    def _fs(self, path: str):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def exists(self, path: str) -> bool:
-        fs, p = self._fs(path)
-        return fs.exists(p)
-
-    def delete(self, path: str) -> bool:
-        fs, p = self._fs(path)
-        return fs.delete(p, True)
-
-    def _names(self, path: str) -> list[str]:
-        fs, p = self._fs(path)
-        try:
-            return [s.getPath().getName() for s in fs.listStatus(p)]
-        except Py4JJavaError as e:
-            if "FileNotFoundException" in e.java_exception.getClass().getName():
-                return []
-            raise
-
-    def _text(self, path: str) -> str | None:
-        fs, p = self._fs(path)
-        try:
-            stream = fs.open(p)
-        except Py4JJavaError as e:
-            if "FileNotFoundException" in e.java_exception.getClass().getName():
-                return None
-            raise
-        try:
-            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def _put(self, path: str, text: str) -> bool:
-        """Write a small file whole under its name, in one step, if the name is free; tells whether it was."""
-        folder, name = path.rsplit("/", 1)
-        spare = f"{folder}/.{name}-{uuid.uuid4().hex}"
-        fs, p = self._fs(spare)
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
-        try:
-            if fs.getScheme() == "file":  # whose rename replaces a file of that name
-                os.link(p.toUri().getPath(), self._fs(path)[1].toUri().getPath())
-            else:
-                jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
-                how = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-                one = gateway.new_array(how, 1)
-                one[0] = how.NONE
-                jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(p, self._fs(path)[1], one)
-        except FileExistsError:
-            return False
-        except Py4JJavaError as e:
-            if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
-                return False
-            raise
-        finally:
-            self.delete(spare)
-        return True
+        super().__init__(spark)
+        self.root, self.file_rows, self.tries, self.checkpoint_every = root.rstrip("/"), file_rows, tries, checkpoint_every
 
     def has(self, table: str) -> bool:
         return self.exists(f"{self.root}/{table}/_log")
@@ -268,8 +204,8 @@ class Lake:
 
     def _checkpoint(self, table: str, kept: list[int] | None) -> tuple[str, int, int]:
         folder = f"{self.root}/{table}/_log"
-        rows, version = self.actions(table), self._state(table).version
-        rows = rows.where(F.col("commit_id") <= version)
+        version = self._state(table).version
+        rows = self.actions(table).where(F.col("commit_id") <= version)  # read after the number, so none up to it is missing
         went = 0
         if kept is not None:
             kept = sorted({*kept, version})

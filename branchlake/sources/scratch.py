@@ -5,7 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written under spark.checkpoint.dir once, without their lineage; Spark deletes them when nothing refers to them any more, if spark.cleaner.referenceTracking.cleanCheckpoints says so."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(fresh(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
 
 
 def fresh(spark: SparkSession, name: str) -> str:
