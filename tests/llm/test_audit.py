@@ -89,16 +89,25 @@ def test_divergence_of_odd_and_empty_tables(spark, odd, none):
     assert said(divergence_audit.audit(alone)) == brute_audit([tuple(r) for r in alone.collect()])  # no term is kept: distances of 0
 
 
-def test_counts_travel_without_text(spark, sf, tmp_path):
-    """No exchange of counts carries a string but those of languages and sources."""
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("lang", "source", F.col("text").cast("binary").alias("body"))
-    runs = divergence_audit.term_runs(docs)
-    runs.write.parquet(f"{tmp_path}/runs")
-    read = spark.read.parquet(f"{tmp_path}/runs")
-    per = read.groupBy("lang", "source", "digest").agg(F.sum("n"), F.sum("docs"))
-    assert "term" not in re.search(r"ReadSchema: struct<([^>]*)>", per._jdf.queryExecution().executedPlan().toString())[1]
-    texts = read.groupBy("digest").agg(F.min("term").alias("a"), F.max("term").alias("b")).where("a <> b")
-    assert texts.isEmpty() and read.where("first").count() == read.select("term").distinct().count()
+def test_text_travels_once_per_task_and_term(spark, sf):
+    """Counts are numbers; a term's text goes with the first of them only."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("lang", "source", F.col("text").cast("binary").alias("body")).coalesce(1)
+    gids = {(lang, source): (g, 0) for g, (lang, source) in enumerate(sorted({(r["lang"], r["source"]) for r in docs.select("lang", "source").collect()}))}
+    counts = divergence_audit.term_counts(docs, gids).collect()
+    texts = [r["term"] for r in counts if r["term"] is not None]
+    assert len(texts) == len(set(texts)) == len({r["digest"] for r in counts}) < len(counts)
+
+
+def test_a_common_term_is_added_up_as_it_streams(spark, monkeypatch):
+    """More counts of a digest than a batch holds are compacted, with nothing lost."""
+    monkeypatch.setattr(divergence_audit, "HELD", 1)
+    rows = [("en", "ab"[i % 2], "common " * (i % 3 + 1) + f"w{'xyz'[i % 3]}") for i in range(900)]
+    df = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+    try:
+        assert said(divergence_audit.audit(df)) == brute_audit(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 # ---- chat format
