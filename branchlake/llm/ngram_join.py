@@ -184,20 +184,31 @@ def linked(overlap: Column, a: Column, b: Column, percent: int) -> Column:
     return overlap * 100 >= (a + b - overlap) * percent
 
 
-def in_blocks(members: DataFrame, group: str, size: str, columns: list[str], percent: int, whole: bool) -> DataFrame:
+def size_class(n: Column, percent: int) -> Column:
+    """Sizes of linked sets are in the same class or in neighbouring ones: a class spans the ratio that the threshold allows."""
+    return F.floor(F.log(n.cast("double")) / float(np.log(100 / min(percent, 99))) + 1e-9).cast("int")
+
+
+def in_blocks(members: DataFrame, group: str, columns: list[str], percent: int, whole: bool) -> DataFrame:
     """(u, v): pairs of members (cid) of a group that may be linked, or are (``whole``), and have different labels; a spanning set of them per pair of blocks of BLOCK members.
 
-    columns: cid, label, n, sketch and, if ``whole``, toks.
+    columns: cid, label, n, sketch and, if ``whole``, toks. A group is dealt out by size first: members of a size class meet each other and those of the next one, and only among these are blocks
+    paired. So a group of many sizes costs each of its members two visits, and the blocks of a few sizes.
     """
-    own = members.withColumn("k", F.greatest(F.lit(1), F.ceil(F.col(size) / BLOCK)).cast("int")).withColumn("b", F.pmod(F.xxhash64("cid"), F.col("k")).cast("int"))
-    dealt = own.select(F.col(group).alias("g"), "b", *columns, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o"))
-    dealt = dealt.select("g", F.least("b", "o").alias("lo"), F.greatest("b", "o").alias("hi"), "b", *columns)
-    placed = dealt.repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi", "n", "cid")
+    named = members.withColumn("__g", F.col(group)).withColumn("c", size_class(F.col("n"), percent))
+    sizes = named.groupBy("__g", "c").agg(F.count(F.lit(1)).alias("own"))
+    near = sizes.select("__g", (F.col("c") - 1).alias("c"), F.col("own").alias("next"))
+    slots = sizes.join(near, ["__g", "c"], "left").select("__g", F.col("c").alias("slot"), F.greatest(F.lit(1), F.ceil((F.col("own") + F.coalesce("next", F.lit(0))) / BLOCK)).cast("int").alias("k"))
+    visits = named.select("__g", "c", *columns, F.explode(F.array("c", F.col("c") - 1)).alias("slot"))
+    own = visits.join(slots, ["__g", "slot"]).withColumn("b", F.pmod(F.xxhash64("cid"), F.col("k")).cast("int"))  # a slot below the smallest class is none
+    dealt = own.select("__g", "slot", "b", "c", *columns, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o"))
+    dealt = dealt.select(F.col("__g").alias("g"), "slot", F.least("b", "o").alias("lo"), F.greatest("b", "o").alias("hi"), "b", "c", *columns)
+    placed = dealt.repartition("g", "slot", "lo", "hi").sortWithinPartitions("g", "slot", "lo", "hi", "n", "cid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
         for b in batches:
-            keys = list(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
+            keys = list(zip(*(b.column(i).to_pylist() for i in range(4)), strict=True))
             edges = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
             for lo, hi in zip(edges, edges[1:], strict=False):
                 if lo == hi:
@@ -216,7 +227,8 @@ def in_blocks(members: DataFrame, group: str, size: str, columns: list[str], per
 def _spanning(held: list[pa.RecordBatch], key: tuple, percent: int, whole: bool) -> pa.RecordBatch:
     """By size: only smaller sets that are large enough, of another label, and that the sketches don't tell apart are looked at; a pair found unites its labels."""
     t = pa.Table.from_batches(held).combine_chunks()
-    cid, n, side = (t[c].to_numpy() for c in ("cid", "n", "b"))
+    cid, n, side, kind = (t[c].to_numpy() for c in ("cid", "n", "b", "c"))
+    _, slot, low_block, high_block = key
     lab = np.unique(t["label"].to_numpy(), return_inverse=True)[1]
     bits = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(len(n), -1)
     tokens = t["toks"].combine_chunks() if whole else None
@@ -231,7 +243,7 @@ def _spanning(held: list[pa.RecordBatch], key: tuple, percent: int, whole: bool)
     us, vs = [], []
     for j in range(1, len(n)):
         near = np.arange(least[j], j)
-        near = near[(lab[near] != lab[j]) & ((side[near] != side[j]) if key[1] != key[2] else True)]
+        near = near[(lab[near] != lab[j]) & ((side[near] != side[j]) if low_block != high_block else True) & ((kind[near] == slot) | (kind[j] == slot))]  # two of the next class meet in their own slot
         if not len(near):
             continue
         need = -(-percent * (n[near] + n[j]) // (100 + percent))
@@ -281,11 +293,10 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     roots = first.withColumnsRenamed({"label": "root"})
     if not unsure.isEmpty():
         sketched = unsure.join(sets.select("cid", "n", "sketch"), "cid")
-        maybe = scratch.cut(in_blocks(sketched, "key", "many", ["cid", "label", "n", "sketch"], percent, False), "maybe")
+        maybe = scratch.cut(in_blocks(sketched, "key", ["cid", "label", "n", "sketch"], percent, False), "maybe")
         clusters = components(maybe, scratch).withColumnsRenamed({"node": "cid", "root": "cluster"})
-        sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-        inside = clusters.join(sizes, "cluster").join(unsure.select("cid", "label").distinct(), "cid").join(sets, "cid")
-        more = in_blocks(inside, "cluster", "size", ["cid", "label", "n", "sketch", "toks"], percent, True)
+        inside = clusters.join(unsure.select("cid", "label").distinct(), "cid").join(sets, "cid")
+        more = in_blocks(inside, "cluster", ["cid", "label", "n", "sketch", "toks"], percent, True)
         roots = components(edges.unionByName(more), scratch).withColumnsRenamed({"node": "cid"})
     named = rest.select("cid", "fp").join(roots, "cid").select("fp", "root")
     joined = sig.where(F.col("fp").isNotNull()).groupBy("fp").agg(F.min("id").alias("least")).join(named, "fp", "left")
