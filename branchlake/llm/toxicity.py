@@ -105,9 +105,9 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         elif w in SECOND_PERSON:
             you.append(i)
     near = 0
-    if hits and you:
-        spots = np.asarray(you)
-        near = sum(int(np.abs(spots - h).min() <= NEAR) for h in hits)
+    if hits and you:  # both in order: a hit is near if a pronoun lies in its window
+        spots, at = np.asarray(you), np.asarray(hits)
+        near = int((np.searchsorted(spots, at + NEAR, side="right") > np.searchsorted(spots, at - NEAR)).sum())
     return [
         len(hits) / n,
         math.log1p(len(hits)),
