@@ -36,6 +36,10 @@ _DIGIT = re.compile("[0-9]")
 Span = tuple[int, int, int]  # kind, start, end
 #: least probability of an added span
 SURE = 0.9
+#: tokens of a segment decoded together; a longer one is cut into windows that look LAP tokens beyond either end
+WINDOW, LAP = 512, 16
+#: tokens whose features are held at once
+HELD_TOKENS = 20_000
 
 
 def luhn(digits: str) -> bool:
@@ -367,21 +371,43 @@ def fit(copies: int = 12) -> Field:
 def all_spans(texts: list[str], field: Field, make: Featurizer, sure: float) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and added spans of each text."""
     base = [base_spans(t) for t in texts]
-    where, feats = [], []
+    added: list[list[Span]] = [[] for _ in texts]
+    where, feats, held = [], [], 0
+
+    def decode() -> None:
+        for (i, seg, low, high), runs in zip(where, field.decode(feats), strict=True):
+            for kind, first, last, chance in runs:
+                if chance >= sure and low <= first < high:
+                    s, e = _trim(texts[i], seg[first][0], seg[last][1])
+                    if s < e:
+                        added[i].append((kind, s, e))
+        where.clear()
+        feats.clear()
+
     for i, t in enumerate(texts):
         for seg in segments(t):
-            where.append((i, seg))
-            feats.append(make(t, seg))
-    added: list[list[Span]] = [[] for _ in texts]
-    for (i, seg), runs in zip(where, field.decode(feats), strict=True):
-        for kind, first, last, chance in runs:
-            if chance >= sure:
-                s, e = _trim(texts[i], seg[first][0], seg[last][1])
-                if s < e:
-                    added[i].append((kind, s, e))
+            for own, low, high in windows(seg):
+                where.append((i, own, low, high))
+                feats.append(make(t, own))
+                held += len(own)
+                if held > HELD_TOKENS:
+                    decode()
+                    held = 0
+    decode()
     return [(own, _apart(more, own)) for own, more in zip(base, added, strict=True)]
 
 
+def windows(seg: list[tuple[int, int]]) -> Iterator[tuple[list[tuple[int, int]], int, int]]:
+    """(tokens, low, high): a span counts in the window that it begins in, between ``low`` and ``high``."""
+    if len(seg) <= WINDOW:
+        yield seg, 0, len(seg)
+        return
+    step = WINDOW - 2 * LAP
+    for at in range(0, len(seg), step):
+        before = min(LAP, at)
+        yield seg[at - before : at + step + LAP], before, min(before + step, before + len(seg) - at)
+
+
 def _apart(spans: list[Span], base: list[Span]) -> list[Span]:
     """The spans that overlap none of ``base``: both in order of start, in one pass."""
     taken, out, k = sorted((s, e) for _, s, e in base), [], 0

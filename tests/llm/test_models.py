@@ -2,6 +2,7 @@
 
 import importlib.util
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -459,3 +460,94 @@ def test_pipeline_stages_of_odd_and_empty_tables(spark, odd):
         assert stage(spark, rows.limit(0), "").count() == 0
     packed = cp.pack_sequences(spark, rows, "").collect()
     assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == Counter(r["doc_id"] for r in rows.collect()) and cp.pack_sequences(spark, rows.limit(0), "").count() == 0
+
+
+# ---- costs that must not grow with the square
+
+
+def test_sizes_are_dealt_by_class(spark, monkeypatch):
+    """Members of one entry with many sizes: pairs of neighbouring classes meet, and the visits stay near the number of members."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 64)
+    sizes = [int(50 * 1.02**i) for i in range(300)] * 4
+    rows = [(7, i, i, n, bytes(256)) for i, n in enumerate(sizes)]
+    members = spark.createDataFrame(rows, "key long, cid long, label long, n long, sketch binary")
+    found = ngram_join.in_blocks(members, "key", ["cid", "label", "n", "sketch"], 80, False).collect()
+    parent = list(range(len(sizes)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for r in found:
+        assert min(sizes[r["u"]], sizes[r["v"]]) * 100 >= max(sizes[r["u"]], sizes[r["v"]]) * 80
+        parent[root(r["u"])] = root(r["v"])
+    assert len({root(x) for x in range(len(sizes))}) == 1  # sizes follow one another closely, and empty sketches tell nothing apart
+    named = members.withColumn("c", ngram_join.size_class(F.col("n"), 80))
+    for a, b in ((1, 1), (80, 100), (4, 5), (99, 123), (1000, 1250), (6400, 8000)):
+        low, high = (spark.range(1).select(ngram_join.size_class(F.lit(x), 80).alias("c")).first()["c"] for x in (a, b))
+        assert high - low <= 1
+    assert named.select("c").distinct().count() >= 20
+
+
+def test_near_pronouns_against_a_plain_loop():
+    rng = random.Random(2)
+    lexicon = toxicity.Lexicon({"bad": 1.0})
+    for _ in range(60):
+        words = rng.choices(["bad", "you", "x", "y", "z"], [1, 1, 4, 4, 4], k=rng.randint(1, 60))
+        near = sum(any(words[j] == "you" for j in range(max(0, i - toxicity.NEAR), min(len(words), i + toxicity.NEAR + 1))) for i, w in enumerate(words) if w == "bad")
+        assert toxicity.features(" ".join(words), lexicon)[6] == near / len(words)
+
+
+def test_features_of_a_million_words_take_seconds():
+    import time
+
+    text = "bad you fine words " * 250_000
+    began = time.process_time()
+    x = toxicity.features(text, toxicity.Lexicon({"bad": 1.0}))
+    assert time.process_time() - began < 5 and x[6] == 0.25
+
+
+def test_trees_against_a_plain_walk():
+    """Every score is the sum of leaves that a walk by single comparisons reaches, and the split of a stump is the best there is."""
+    rng = np.random.default_rng(4)
+    x = rng.random((400, toxicity.FEATURES))
+    y = ((x[:, 2] > 0.6) ^ (x[:, 5] > 0.8)).astype(float)
+    model = toxicity.grow(x, y, rounds=12)
+
+    def walk(row):
+        out = model.base
+        for feature, cut, value in model.trees:
+            node = 0
+            for _ in range(model.depth):
+                j = feature[node]
+                node = 2 * node + (2 if sum(e <= row[j] for e in model.edges[j]) > cut[node] else 1)
+            out += value[node]
+        return out
+
+    assert np.allclose(model.margin(x[:50]), [walk(r) for r in x[:50]])
+    stump = toxicity.grow(x, (x[:, 3] > 0.5).astype(float), rounds=1, depth=1)
+    assert stump.trees[0][0][0] == 3
+
+
+def test_long_runs_of_numbers_are_decoded_in_windows(monkeypatch):
+    """The same spans as of the whole segment, in bounded memory."""
+    field, make = pii.fit(4), pii.Featurizer()
+    rng = random.Random(9)
+    text = " ".join(rng.choice(["+1 (202) 555-0143", "(202) 555-0143", "12", "3.4", "4111111111111111", "x9"]) for _ in range(3000))
+    (base, added), = pii.all_spans([text], field, make, pii.SURE)
+    monkeypatch.setattr(pii, "WINDOW", 10**9)
+    (base2, added2), = pii.all_spans([text], field, make, pii.SURE)
+    assert base == base2 and added == added2 and len(added) > 100
+
+
+def test_a_million_numbers_in_bounded_memory():
+    import tracemalloc
+
+    field, make = pii.fit(1), pii.Featurizer()
+    text = " ".join(str(i % 997) for i in range(300_000))
+    tracemalloc.start()
+    pii.all_spans([text], field, make, pii.SURE)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
