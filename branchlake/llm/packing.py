@@ -10,6 +10,7 @@ their length, which is a count per written partition plus a running number.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,20 +27,30 @@ from branchlake.llm.common import cut, lean
 END = (1).to_bytes(4, "little")
 
 
+#: letters whose lower case and composed form are the same everywhere
+LATIN = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
+PLAIN = re.compile(f"([{LATIN}]+)([.,]?)")
+
+
 class WordIds:
     """Token ids of a text as little-endian 32-bit bytes, from a cache of its chunks between ASCII white space.
 
     The tokenizer drops white space and no token crosses it, so a text's ids are its chunks' ids one after another. A full cache becomes the older one, from which
-    chunks that are seen again come back; so frequent chunks stay, and those seen once, which are most, go.
+    chunks that are seen again come back; so frequent chunks stay, and those seen once, which are most, go. A chunk of Latin letters, a full stop or comma behind it or not, is one word (and one
+    sign) to the tokenizer, whatever its rules for others are; the model behind it is asked for these, at a third of the cost.
     """
 
     def __init__(self, path: str, limit: int = 300_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.known, self.older, self.limit = Tokenizer.from_file(path), {}, {}, limit
+        spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelling = {ord(c): spelt.pre_tokenize_str(c)[0][0] for c in LATIN.lower()}
+        self.signs = {s: np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes() if s else b"" for s in ("", ".", ",")}
+        self.model = self.tokenizer.model
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
@@ -49,7 +60,13 @@ class WordIds:
         new = set().union(*split).difference(known)
         again = new.intersection(older)
         known.update((w, older[w]) for w in again)
-        new = list(new - again)
+        others = []
+        for w in new - again:
+            if m := PLAIN.fullmatch(w):
+                known[w] = np.array([t.id for t in self.model.tokenize(m[1].lower().translate(self.spelling))], dtype="<u4").tobytes() + self.signs[m[2]]
+            else:
+                others.append(w)
+        new = others
         for i in range(0, len(new), 10_000):
             part = new[i : i + 10_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
@@ -162,6 +179,7 @@ class Plan:
     at: np.ndarray
     sequences: int
     bound: float = 0.0  # no packing takes fewer sequences
+    left: float = 0.0  # share of the pieces that best fit has placed
 
 
 class Rooms:
@@ -206,43 +224,47 @@ def best_fit_decreasing(left: dict[int, int], rooms: Rooms) -> Rooms:
     return rooms
 
 
-def rounded(histogram: dict[int, int], capacity: int, sizes: np.ndarray, cover: list[tuple[np.ndarray, np.ndarray, float]]) -> Rooms:
-    """Whole sequences from a fractional cover: amounts rounded down, then one more of a configuration whenever the fractions passed so far add up to one, as far as
-    its pieces last. What is left over goes to best fit."""
-    left, rooms, due = dict(histogram), Rooms(capacity), 0.0
-
-    def take(content: list[tuple[int, int]], times: int) -> None:
-        times = min(times, *(left[n] // k for n, k in content))
+def take_whole(left: dict[int, int], capacity: int, sizes: np.ndarray, cover: list[tuple[np.ndarray, np.ndarray, float]], rooms: Rooms, slack: float = 0.01) -> bool:
+    """Whole sequences from a fractional cover, the fullest configurations first and of these the ones with the largest amounts: each as often as its amount says, at least once, as far as its
+    pieces last. Configurations that are emptier than the fullest one that could be taken, by more than ``slack``, wait for another program. Tells whether any was taken."""
+    contents = sorted(((int((sizes[at] * copies).sum()), x, [(int(sizes[i]), int(k)) for i, k in zip(at[::-1], copies[::-1], strict=True)]) for at, copies, x in cover), key=lambda c: (-c[0], -c[1], c[2]))
+    fullest = None
+    for fill, x, content in contents:
+        if fullest is not None and fill < fullest - slack * capacity:
+            break
+        times = min(max(1, int(x)), *(left[n] // k for n, k in content))
         if times > 0:
+            fullest = fill if fullest is None else fullest
             for n, k in content:
                 left[n] -= k * times
             rooms.open(content, times)
+    return fullest is not None
+
 
-    contents = [([(int(sizes[i]), int(k)) for i, k in zip(at[::-1], copies[::-1], strict=True)], x) for at, copies, x in cover]
-    for content, x in contents:
-        take(content, int(x))
-    for content, x in contents:
-        due += x - int(x)
-        if due >= 1:
-            due -= 1
-            take(content, 1)
-    return best_fit_decreasing(left, rooms)
-
-
-def plan(histogram: dict[int, int], capacity: int) -> Plan:
-    """Every length takes part in the program. It ends once a rounded cover takes no more sequences than the dual bound asks for, which proves it best, or else with the best
-    that its rounds gave. Should that be worse than plain best fit decreasing, the latter is taken instead."""
-    sizes = np.array(sorted(n for n in histogram if histogram[n]), dtype=np.int64)
-    if not len(sizes):
+def plan(histogram: dict[int, int], capacity: int, programs: int = 24, rest: float = 0.1) -> Plan:
+    """Every length takes part in the program. Its fractional cover is rounded to whole sequences, and the pieces that are left make the next program, until a tenth of them (``rest``) is left or
+    ``programs`` have been solved; then best fit decreasing places what is left, in the rooms there are. Should that be worse than plain best fit decreasing, the latter is taken instead."""
+    if not any(histogram.values()):
         return Plan(*np.zeros((5, 0), np.int64), 0)
-    rooms, bound = None, 0.0
-    for cover, bound in fractional_covers(sizes, np.array([histogram[n] for n in sizes.tolist()], float), capacity):
-        found = rounded(histogram, capacity, sizes, cover)
-        rooms = found if rooms is None or found.count() < rooms.count() else rooms
-        if rooms.count() <= math.ceil(bound - 1e-6):
+    left, rooms, total, bound = dict(histogram), Rooms(capacity), sum(histogram.values()), 0.0
+    for k in range(programs):
+        if sum(left.values()) <= rest * total:
+            break
+        sizes = np.array(sorted(n for n in left if left[n]), dtype=np.int64)
+        taken = False
+        # with more rounds the amounts are spread over more configurations
+        for cover, least in fractional_covers(sizes, np.array([left[n] for n in sizes.tolist()], float), capacity, rounds=16):
+            bound = bound if k else least
+            taken = take_whole(left, capacity, sizes, cover, rooms)
+            if taken:
+                break
+        if not taken:
             break
-    else:
-        rooms = min(rooms, best_fit_decreasing(histogram, Rooms(capacity)), key=Rooms.count)
+    share = sum(left.values()) / total
+    best_fit_decreasing(left, rooms)
+    plain = best_fit_decreasing(dict(histogram), Rooms(capacity))
+    if plain.count() < rooms.count():
+        rooms, share = plain, 1.0
     runs, taken, count = [], dict.fromkeys(histogram, 0), 0
     for group in rooms.groups.values():
         for content, times in group:
@@ -253,7 +275,7 @@ def plan(histogram: dict[int, int], capacity: int) -> Plan:
                 at += n * copies
             count += times
     cols = np.array(sorted(runs), dtype=np.int64).reshape(-1, 5).T
-    return Plan(*cols, count, bound)
+    return Plan(*cols, count, bound, share)
 
 
 def pack(
