@@ -143,21 +143,32 @@ def segments(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
+_EDGES = ".,;!?\"'"
+#: features that know a token's exact shape; half of the fillings are learnt without them
+EXACT = (1, 2, 5, 6)
+
+
 class Featurizer:
     """Hashed features of the tokens of a segment; those of short words are remembered."""
 
     def __init__(self):
-        self.known: dict[str, tuple[str, str, str, str]] = {}
+        self.known: dict[str, tuple[str, ...]] = {}
 
-    def _parts(self, word: str) -> tuple[str, str, str, str]:
+    def _parts(self, word: str) -> tuple[str, ...]:
         found = self.known.get(word)
         if found is None:
-            full = shape(word)
+            inner = word.strip(_EDGES) or word
+            tail = word[len(word.rstrip(_EDGES)) :][:2] if inner != word else ""
+            full = shape(inner)
             digits = "".join(c for c in word if "0" <= c <= "9")
-            colons = "h" if _HEX_WORD.fullmatch(word) else ""
+            colons = "h" if _HEX_WORD.fullmatch(inner) else ""
             sum_ = "" if not 13 <= len(digits) <= 19 else "valid" if luhn(digits) else "invalid"
-            flags = f"{'@' in word}{'+' in word}{min(word.count('.'), 4)}{min(word.count('-'), 4)}{min(word.count(':'), 4)}{'(' in word}{colons}"
-            found = full, re.sub("0[0-9]*", "0", full), flags, f"{min(len(digits), 20)}{sum_}"
+            flags = f"{'@' in inner}{'+' in inner}{min(inner.count('.'), 4)}{min(inner.count('-'), 4)}{min(inner.count(':'), 4)}{'(' in inner}{colons}"
+            rough = re.sub("0[0-9]*", "0", full)
+            signs = "".join(dict.fromkeys(c for c in inner if not c.isalnum())) + colons
+            at = f"{word[:1] == '@'}{word[-1:] == '@'}{len(word)}" if len(word) < 3 or "@" in (word[0], word[-1]) else str("@" in word)
+            few = str(len(digits)) if len(digits) < 5 else "5-8" if len(digits) < 9 else "9-15" if len(digits) < 16 else "16" if len(digits) == 16 else "more"
+            found = full, rough, flags, f"{min(len(digits), 20)}{sum_}{tail}", signs, at, f"{few}{sum_}{'l' if any(c.isalpha() for c in word) else ''}"
             if len(word) <= 64:
                 if len(self.known) > 100_000:
                     self.known.clear()
@@ -167,10 +178,15 @@ class Featurizer:
     def __call__(self, text: str, seg: list[tuple[int, int]]) -> list[list[int]]:
         parts = [self._parts(text[s:e]) for s, e in seg]
         rows = []
-        for i, (full, rough, flags, digits) in enumerate(parts):
-            before = parts[i - 1][0] if i else "^"
-            after = parts[i + 1][0] if i + 1 < len(parts) else "$"
-            rows.append([0, *map(bucket, ("s" + full, "r" + rough, "f" + flags, "n" + digits, f"b{before}|{rough}", f"a{rough}|{after}", f"d{digits}|{flags}"))])
+        none = ("^",) * 7
+        for i, (full, rough, flags, digits, signs, at, few) in enumerate(parts):
+            before, after = parts[i - 1] if i else none, parts[i + 1] if i + 1 < len(parts) else none
+            rows.append(
+                [0, *map(bucket, (
+                    "s" + full, "r" + rough, "f" + flags, "n" + digits, f"b{before[0]}|{rough}", f"a{rough}|{after[0]}", f"d{digits}|{flags}", "p" + signs, f"q{signs}|{few}", f"@{before[5]}|{at}|{after[5]}",
+                    f"B{before[6]}{before[4]}|{few}{signs}", f"A{few}{signs}|{after[6]}{after[4]}",
+                ))]
+            )
         return rows
 
 
@@ -306,21 +322,28 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
 # The labelled table: "#" is any digit, "h" in braces any hexadecimal one; [kind|...] is a span. A card's last digit makes its checksum right, {bad ...} is a number whose checksum is wrong.
 LINES = (
     # forms that the base patterns know
-    "[email|an.##@mail#.example.com]", "[email|joe_#@post.example.org].", "[ip|1##.##.1##.##]", "[ip|##.#.#.1##]:80##", "[card|####-####-####-####]", "[card|################]", "[phone|+1 (###) 555-####]", "[phone|+4# ## #######]",
+    "[email|an.##@mail#.example.com]", "[email|joe_#@post.example.org].", "[email|info@shop##.test]", "[ip|1##.##.1##.##]", "[ip|##.#.#.1##]:80##", "[ip|#.#.#.#]", "[card|####-####-####-####]", "[card|################]", "[card|#### #### #### ####]",
+    "[phone|+1 (###) 555-####]", "[phone|+4# ## #######]", "[phone|+3# ### ### ###]", "[phone|+49 (0)## ######]",
     # side by side, where a base pattern swallows both and drops them
     "[phone|+1 (###) 555-####] [ip|1##.##.1##.##]", "[phone|+1 (###) 555-####] [card|################]", "[card|################] ##", "[card|################] ###", "[phone|+1 (###) 555-####] [phone|+1 (###) 555-####]", "## [card|################]",
-    "[card|################] [card|################]", "[ip|1##.##.1##.##] [card|################]", "[card|################] [ip|1##.##.1##.##]",
+    "[card|################] [card|################]", "[ip|1##.##.1##.##] [card|################]", "[card|################] [ip|1##.##.1##.##]", "# [card|################]", "[card|################] #", "### [card|################]", "[phone|+1 (###) 555-####] ##",
+    "[ip|1##.##.1##.##] [phone|+1 (###) 555-####]", "[card|################] [phone|+1 (###) 555-####]", "[card|####-####-####-####] [card|####-####-####-####]", "[phone|+4# ## #######] [phone|+4# ## #######]", "[ip|#.#.#.#] [ip|1##.##.1##.##]",
     # numbers to call without a country code, or with other separators
-    "[phone|(###) 555-####]", "[phone|(0##) ###-####],", "[phone|###-###-####]", "[phone|0##/#######]", "[phone|0## ### ## ##]", "tel. [phone|0##-#######]", "tel [phone|(0##) #######]", "[phone|00## ## #### ####]", "fax: [phone|(###) ###-####]",
+    "[phone|(###) 555-####]", "[phone|(###) ###-####]", "[phone|(0##) ###-####],", "[phone|(0###) ###-###]", "[phone|(0##) #######]", "[phone|(0###) ######]", "[phone|###-###-####]", "[phone|###-555-####].", "[phone|0##-###-####]", "[phone|0##/#######]", "[phone|0###/######]",
+    "[phone|0##/######]", "[phone|0## ### ## ##]", "[phone|0# ## ## ## ##]", "[phone|0## ### ####]", "[phone|0## ## ## ##]", "[phone|0# ## ## ## ##]!", "[phone|0#-##-##-##-##]", "[phone|0##.###.####]", "[phone|0###/#######]", "[phone|0### ######]", "[phone|0#### #####]", "[phone|00## # ## ## ## ##]", "[phone|00## ### #######]", "[phone|(0####) #####]", "[phone|(0##) ### ####]", "tel. [phone|0##-#######]", "tel. [phone|0###-######]", "tel [phone|(0##) #######]", "tel: [phone|0##/#######]", "tel: [phone|(###) ###-####]", "phone [phone|###-###-####]",
+    "[phone|00## ## #### ####]", "[phone|00## ### ### ###]", "[phone|00## ## #######]", "fax: [phone|(###) ###-####]", "fax: [phone|0##-#######]", "fax [phone|###-###-####]", "call [phone|(###) 555-####]",
     # addresses pulled apart or without a full domain
-    "[email|ann @ mail#.example.com]", "[email|an.## @mail#.example.com]", "[email|an.##@ mail#.example.com]", "[email|ann##@mail#]", "[email|root@host##]", "[email|an.##@@mail#.example.com]",
+    "[email|ann @ mail#.example.com]", "[email|joe @ post.example.org]", "[email|an.## @ mail#.example.com]", "[email|an.## @mail#.example.com]", "[email|joe_# @post.example.org]", "[email|ann @post.example.org]", "[email|joe @mail#.example.com]", "[email|an.## @ post.example.org]", "[email|ann @ post.example.org]", "[email|ann@ mail#.example.com]", "[email|an.##@ mail#.example.com]", "[email|joe_#@ post.example.org]", "[email|ann##@mail#]", "[email|ann@mail#]",
+    "[email|joe@host#]", "[email|root@host##]", "[email|root@localhost]", "[email|admin@server##]", "[email|ann@intranet]", "[email|ops@db#]", "[email|web.##@node##]", "[email|a.b@office]", "[email|joe_#@lab##]", "[email|an.##@@mail#.example.com]", "[email|joe_#@@post.example.org]",
     # other notations of addresses and cards
-    "[ip|fe80::{hhh}:{hhhh}:{hhhh}]", "[ip|2001:db8:{hhhh}:#::{hh}]", "[ip|2001:db8:{hhhh}:{hhhh}:{hhhh}:{hhhh}:{hhhh}:{hhhh}]", "[card|####.####.####.####]", "[card|####_####_####_####]", "[card|####/####/####/####]",
+    "[ip|fe80::{hhh}:{hhhh}:{hhhh}]", "[ip|fe80::{hhhh}:{hhhh}:{hhhh}:{hhhh}]", "[ip|fe80::#]", "[ip|fe80::{hh}]", "[ip|::1]", "[ip|fe80::#:#]", "[ip|2001:db8::#]", "[ip|2001:{hhhh}:{hhhh}:{hhhh}:{hhhh}:{hhhh}:{hhhh}:{hhhh}]", "[ip|2a00:{hhhh}:{hhhh}:{hhhh}::{hhhh}]", "[ip|2a02:{hhhh}:{hhhh}::{hhhh}]", "[ip|2001:db8:{hhhh}:#::{hh}]", "[ip|2001:db8::{hhhh}:{hhhh}]", "[ip|2001:db8:{hhhh}:{hhhh}:{hhhh}:{hhhh}:{hhhh}:{hhhh}]", "[ip|2a02:{hhhh}:{hhhh}:{hhhh}:{hhhh}:{hhhh}:{hhhh}:{hhhh}]", "[ip|2a02:{hhhh}::{hhhh}]",
+    "[card|####.####.####.####]", "[card|####_####_####_####]", "[card|####/####/####/####]", "[card|####.####.####.####].", "[card|####_####_####_####],", "card [card|####/####/####/####]", "card [card|####.####.####.####]",
     # what is none of these
-    "{bad ################}", "{bad ################}!!", "{bad ################}$$$", "{bad ####-####-####-####}", "order {bad ################} of", "{bad ################} ##", "version #.", "4.#.", "BY-NC #.0.", "v#.##.#", "2.##.#-rc#", "20##-0#-1#", "1#:##:##",
-    "20##-0#-1#T0#:##:##Z", "$##.99", "#.#####", "##%", "#,###,###", "token = \"{hhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhh}\"", "key={hhhhhhhhhhhhhhhh}", "AKIA########ABCD####", "{hhhhhhhh}-{hhhh}-{hhhh}-{hhhh}-{hhhhhhhhhhhh}", "ISBN 978-#-##-######-#",
-    "§ ##", "#st", "room ###", "19##", "(20##)", "[##]", "##.# km", "+#", "C++", "a+b", "@user##", "@ ##", "1+#=#", "## ###", "# ### ###", "##-##", "19##-20##", "SKU-#####-####", "##########", "########", "#/#", "##/##/20##", "##x##", "COVID-##", "| ## |", "no. ####",
-    "{bad ################} [ip|1##.##.1##.##]", "[ip|1##.##.1##.##] {bad ################}", "[phone|+1 (###) 555-####] {bad ################}", "## ## ##", "### ### ###", "#.#.#", "##.##.20##",
+    "{bad ################}", "{bad ################}!!", "{bad ################}$$$", "{bad ####-####-####-####}", "{bad #### #### #### ####}", "{bad ####.####.####.####}", "{bad ####_####_####_####}", "{bad ####/####/####/####}", "order {bad ################} of", "{bad ################} ##", "{bad ################} #",
+    "## {bad ################}", "version #.", "version #.#.#", "4.#.", "BY-NC #.0.", "v#.##.#", "v##.#.#", "2.##.#-rc#", "20##-0#-1#", "1#:##:##", "0#:##", "20##-0#-1#T0#:##:##Z", "$##.99", "#.#####", "##%", "#,###,###", "###,###", "token = \"{hhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhh}\"",
+    "key={hhhhhhhhhhhhhhhh}", "sha {hhhhhhhhhhhhhhhhhhhhhhhhhhhhhhhh}", "AKIA########ABCD####", "{hhhhhhhh}-{hhhh}-{hhhh}-{hhhh}-{hhhhhhhhhhhh}", "ISBN 978-#-##-######-#", "ISBN 978-###-###-###-#", "§ ##", "#st", "#th", "room ###", "19##", "20##", "(20##)", "(19##)", "[##]", "[#]", "##.# km", "## km", "+#", "+##", "C++",
+    "a+b", "@user##", "@ann_##", "@joe#", "@x.##", "@web", "@lab## and", "by @ann#", "@ ##", "# @ ##", "1+#=#", "## ###", "### ##", "# ### ###", "## ### ###", "##-##", "###-###", "19##-20##", "SKU-#####-####", "SKU-####-###", "##########", "########", "#######", "#/#", "##/##", "##/##/20##", "##x##", "###x###", "COVID-##", "| ## |", "| # | ## |", "no. ####", "no. ###",
+    "{bad ################} [ip|1##.##.1##.##]", "[ip|1##.##.1##.##] {bad ################}", "[phone|+1 (###) 555-####] {bad ################}", "{bad ################} {bad ################}", "## ## ##", "### ### ###", "## ## ## ##", "# # #", "### ## ###", "#### ####", "## ### ##", "### ### ### ###", "###-##", "####-###", "##-##-##", "{bad #### #### #### ####}.", "{bad #### ####-#### ####}", "no {bad #### #### #### ####}", "#.#.#", "#.##.#", "##.##.20##", "#:#", "##:##:##:##", "aa:bb:{hh}",
 )
 _AROUND = "the and of with call to mail from at und die mit an bei von les des avec une sur pour los las con una para".split()
 _PART = re.compile(r"\[(\w+)\|([^\]]*)\]|\{bad ([^}]*)\}|\{(h+)\}|#")
@@ -360,7 +383,9 @@ def labelled(copies: int = 12, seed: int = 1) -> list[tuple[str, list[Span], int
 
 def training_table(rows: list[tuple[str, list[Span], int]]) -> list[tuple[list[list[int]], list[int]]]:
     make = Featurizer()
-    return [(make(t, seg), label_segment(seg, spans)) for t, spans, _ in rows for seg in segments(t)]
+    unsaid = bucket("unsaid")
+    blurred = lambda feats: [[unsaid if j in EXACT else f for j, f in enumerate(row)] for row in feats]
+    return [((blurred if copy % 2 else list)(make(t, seg)), label_segment(seg, spans)) for t, spans, copy in rows for seg in segments(t)]
 
 
 def fit(copies: int = 12) -> Field:

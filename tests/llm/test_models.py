@@ -158,15 +158,21 @@ def test_field_adds_what_the_base_patterns_lose_and_nothing_else():
     assert got == want and len(want) >= 5
 
 
-def test_field_on_held_out_lines():
-    """A quarter of the written table is kept out of the fit: other digits and other words."""
-    rows = pii.labelled()
-    field, held = pii.train(pii.training_table([r for r in rows if r[2] % 4 != 3])), [r for r in rows if r[2] % 4 == 3]
+@pytest.mark.parametrize("seed", [0, 1])
+def test_field_on_held_out_lines(seed):
+    """Whole lines of the written table are kept out of the fit, a fifth at a time: none of their fillings is learnt from."""
+    rows, lines = pii.labelled(6), list(range(len(pii.LINES)))
+    random.Random(seed).shuffle(lines)
+    fold = {line: i % 5 for i, line in enumerate(lines)}
+    of = [fold[i // 6] for i in range(len(rows))]
     hit = extra = lost = 0
-    for (_, spans, _), (base, added) in zip(held, pii.all_spans([r[0] for r in held], field, pii.Featurizer(), pii.SURE), strict=True):
-        want = {x for x in spans if not any(e > x[1] and s < x[2] for _, s, e in base)}
-        hit, extra, lost = hit + len(want & set(added)), extra + len(set(added) - want), lost + len(want - set(added))
-    assert hit + lost > 80 and hit / (hit + extra) >= 0.97 and hit / (hit + lost) >= 0.85
+    for k in range(5):
+        field, held = pii.train(pii.training_table([r for r, f in zip(rows, of, strict=True) if f != k])), [r for r, f in zip(rows, of, strict=True) if f == k]
+        for (_, spans, _), (base, added) in zip(held, pii.all_spans([r[0] for r in held], field, pii.Featurizer(), pii.SURE), strict=True):
+            want = {x for x in spans if not any(e > x[1] and s < x[2] for _, s, e in base)}
+            hit, extra, lost = hit + len(want & set(added)), extra + len(set(added) - want), lost + len(want - set(added))
+    print("precision", hit / (hit + extra), "recall", hit / (hit + lost))
+    assert hit + lost > 200 and hit / (hit + extra) >= 0.93 and hit / (hit + lost) >= 0.7
 
 
 def test_viterbi_and_chain_probabilities_against_all_paths():
@@ -342,11 +348,11 @@ def test_word_cache_gives_the_tokenizer_s_ids_whatever_it_forgets():
     from tokenizers import Tokenizer
 
     own, plain = packing.WordIds(WORDS, limit=5), Tokenizer.from_file(WORDS)
-    texts = ["", "one two", "two\tthree  four", *(f"one w{i} x{i % 7} Straße{i % 3}\n" for i in range(200))]
+    texts = ["", "one two", "two\tthree  four", "ÉÀß. É\u0301 e\u0301a ÿ, Ÿ µ ª a.b x., I'll can't É's İ Σς ﬁ ǅ naïve. Ångström, K 5a a5 ..,", "STRASSE. Straße, ÆØÅ.", *(f"one w{i} x{i % 7} Straße{i % 3}\n" for i in range(200))]
     for at in range(0, len(texts), 4):
         part = texts[at : at + 4]
         assert own(part) == [np.array([*plain.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes() for t in part]
-        assert len(own.known) <= 5 + 4 * 5 and len(own.older) <= 5 + 4 * 5
+        assert len(own.known) <= 5 + 40 and len(own.older) <= 5 + 40
 
 
 def test_plan_against_all_packings():
@@ -379,6 +385,14 @@ def test_plan_of_the_tables_is_the_best_there_is(scale):
     del counts[0]
     p = packing.plan(dict(+counts), 4096)
     assert p.sequences == math.ceil(p.bound - 1e-6) <= packing.best_fit_decreasing(+counts, packing.Rooms(4096)).count()
+    assert p.left <= {"sf0.001": 0.3, "sf0.01": 0.3, "sf0.1": 0.65}[scale]  # what rounded programs leave to best fit
+
+
+def test_a_program_where_best_fit_is_not_best():
+    """Best fit decreasing fills 50 with 50, where 50 needs to leave its room to smaller pieces."""
+    for counts in ({23: 30, 50: 10, 35: 10, 41: 10}, {52: 10, 23: 20, 32: 20}, {23: 30, 43: 20, 34: 20}, {18: 20, 20: 30, 21: 30, 45: 10, 48: 10}):
+        p = packing.plan(counts, 100)
+        assert p.sequences == math.ceil(p.bound - 1e-6) == packing.best_fit_decreasing(dict(counts), packing.Rooms(100)).count() - 2 and p.left <= 0.1
 
 
 # ---- toxicity
