@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from branchlake.functions.keys import canon, fmt, key_hash, row_hash
 from branchlake.functions.schema import business_columns
-from branchlake.sources.scratch import settled
 
 #: changed keys that a diff broadcasts at most, 16 bytes each
 BROADCAST_KEYS = 500_000
@@ -33,11 +32,11 @@ def _change() -> Column:
     return F.when(F.col("__ha").isNull(), F.lit("inserted")).when(F.col("__hb").isNull(), F.lit("deleted")).when(F.col("__ha") != F.col("__hb"), F.lit("updated"))
 
 
-def _hashed(old: DataFrame, new: DataFrame, keys: list[str], more=lambda _: []) -> DataFrame:
+def _hashed(old: DataFrame, new: DataFrame, keys: list[str], more=lambda _: [], how: str = "full_outer") -> DataFrame:
     """Both sides' key hashes and row hashes next to each other."""
     cols = sorted(set(_value_columns(old, keys)) & set(_value_columns(new, keys)))
     a, b = (df.select(key_hash(df, keys).alias("__k"), row_hash(df, cols).alias(f"__h{side}"), *more(side)) for df, side in ((old, "a"), (new, "b")))
-    return a.join(b, "__k", "full_outer")
+    return a.join(b, "__k", how)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -54,17 +53,19 @@ def collect_changed(df: DataFrame, changed: DataFrame, keys: list[str]) -> DataF
 def changed_pairs(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Updated rows of both sides next to each other: keys, then old_<column> and new_<column>.
 
-    Hashes of keys and rows say first which keys differ. These are written, 16 bytes each, and counted; rows are fetched for them alone, by a broadcast of the keys while they are few, so no
-    value of an unchanged row is shuffled. With more of them than that they are joined to both sides.
+    Hashes of keys and rows say first which keys differ. While these are at most BROADCAST_KEYS, of 16 bytes each, they are broadcast, and rows are fetched for them alone, so no value of an
+    unchanged row is shuffled. With more of them they are joined to both sides.
     """
     cols = sorted(set(_value_columns(old, keys)) & set(_value_columns(new, keys)))
-    differ = settled(_hashed(old, new, keys).where("__ha <> __hb").select("__k").distinct())
-    differ = F.broadcast(differ) if differ.count() <= BROADCAST_KEYS else differ
-    a, b = (
-        df.select(key_hash(df, keys).alias("__k"), row_hash(df, cols).alias(f"__h{side}"), *(keys if side == "old" else []), *[F.col(c).alias(f"{side}_{c}") for c in cols]).join(differ, "__k", "left_semi")
-        for df, side in ((old, "old"), (new, "new"))
-    )
-    return a.join(b, "__k").where("__hold <> __hnew").drop("__k", "__hold", "__hnew")
+    differ = _hashed(old, new, keys, how="inner").where("__ha <> __hb").select("__k").distinct()
+    few = differ.limit(BROADCAST_KEYS + 1).collect()  # at most so many
+    differ = F.broadcast(old.sparkSession.createDataFrame(few, "__k binary")) if len(few) <= BROADCAST_KEYS else differ
+
+    def own(df: DataFrame, side: str) -> DataFrame:
+        rows = df.withColumn("__k", key_hash(df, keys)).join(differ, "__k", "left_semi")
+        return rows.select("__k", row_hash(df, cols).alias(f"__h{side}"), *(keys if side == "old" else []), *[F.col(c).alias(f"{side}_{c}") for c in cols])
+
+    return own(old, "old").join(own(new, "new"), "__k").where("__hold <> __hnew").drop("__k", "__hold", "__hnew")
 
 
 def _differs(old: DataFrame, new: DataFrame, c: str) -> Column:
