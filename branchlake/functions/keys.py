@@ -51,8 +51,8 @@ def fingerprint(df: DataFrame, columns: list[str]) -> Column:
 
 
 def row_hash(df: DataFrame, columns: list[str]) -> Column:
-    """16 bytes over the fingerprint."""
-    return F.unhex(F.md5(fingerprint(df, columns)))
+    """16 bytes over the fingerprint; never null, and said to be so, or else a join would compute it once more to see whether it is."""
+    return F.coalesce(F.unhex(F.md5(fingerprint(df, columns))), F.lit(b""))
 
 
 def key_hash(df: DataFrame, columns: list[str]) -> Column:

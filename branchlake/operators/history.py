@@ -57,7 +57,7 @@ def changed_pairs(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     unchanged row is shuffled. With more of them they are joined to both sides.
     """
     cols = sorted(set(_value_columns(old, keys)) & set(_value_columns(new, keys)))
-    differ = _hashed(old, new, keys, how="inner").where("__ha <> __hb").select("__k").distinct()
+    differ = _hashed(old, new, keys, how="inner").where(~F.col("__ha").eqNullSafe(F.col("__hb"))).select("__k").distinct()
     few = differ.limit(BROADCAST_KEYS + 1).collect()  # at most so many
     differ = F.broadcast(old.sparkSession.createDataFrame(few, "__k binary")) if len(few) <= BROADCAST_KEYS else differ
 
@@ -65,7 +65,7 @@ def changed_pairs(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
         rows = df.withColumn("__k", key_hash(df, keys)).join(differ, "__k", "left_semi")
         return rows.select("__k", row_hash(df, cols).alias(f"__h{side}"), *(keys if side == "old" else []), *[F.col(c).alias(f"{side}_{c}") for c in cols])
 
-    return own(old, "old").join(own(new, "new"), "__k").where("__hold <> __hnew").drop("__k", "__hold", "__hnew")
+    return own(old, "old").join(own(new, "new"), "__k").where(~F.col("__hold").eqNullSafe(F.col("__hnew"))).drop("__k", "__hold", "__hnew")
 
 
 def _differs(old: DataFrame, new: DataFrame, c: str) -> Column:
