@@ -40,7 +40,7 @@ class WordIds:
     sign) to the tokenizer, whatever its rules for others are; the model behind it is asked for these, at a third of the cost.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 150_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -52,6 +52,10 @@ class WordIds:
         self.signs = {s: np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes() if s else b"" for s in ("", ".", ",")}
         self.model = self.tokenizer.model
 
+    def rest(self) -> None:
+        """Between tasks the older cache goes, so a worker that turns to another stage holds less."""
+        self.older = {}
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
             self.known, self.older = {}, self.known
@@ -99,6 +103,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "doc_id
             cols = list(zip(*rows, strict=True))
             kinds = [b.schema.types[0], pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
+        encode.rest()
 
     kind = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
