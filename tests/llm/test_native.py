@@ -83,6 +83,25 @@ def test_matrix_rows_and_columns_add_up():
     assert (m.sum(1) == counts).all() and (m.sum(0) == cells).all()
 
 
+def test_matrix_follows_the_law_of_a_shuffled_deck():
+    """Over seeds, the matrices of three partitions and two shards come as often as a listing of all shuffles of their rows says."""
+    from itertools import permutations
+
+    counts, cells = np.array([2, 1, 2]), np.array([3, 2])
+    owner = [0, 0, 1, 2, 2]
+    law = Counter()
+    for deck in permutations(range(5)):
+        m = [[0, 0] for _ in counts]
+        for place, row in enumerate(deck):
+            m[owner[row]][0 if place < cells[0] else 1] += 1
+        law[str(m)] += 1
+    n, seen = 3000, Counter()
+    for seed in range(n):
+        seen[str([[int(x) for x in sharding.matrix_row(counts, cells, p, seed)] for p in range(3)])] += 1
+    assert set(seen) == set(law)
+    assert sum((seen[m] - n * k / 120) ** 2 / (n * k / 120) for m, k in law.items()) < 25
+
+
 def test_large_population_draws():
     rng = np.random.default_rng(1)
     x = [sharding.hypergeometric(rng, 3 * 10**9, 10**9, 1000) for _ in range(400)]
