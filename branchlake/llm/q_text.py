@@ -30,7 +30,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 4096)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 4096, cache=300_000)
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
