@@ -169,6 +169,45 @@ def test_ranges_are_pruned_before_keys_are_read(spark, monkeypatch):
     assert opened == [1]
 
 
+def test_many_small_files_stay_out_of_the_driver(spark, monkeypatch):
+    """An entry crosses to Python and back in slices and tells its schema once; new files are looked through by branches; impact opens files in range alone, a read takes whole folders."""
+    monkeypatch.setattr("branchlake.sources.files.SLICE", 100)
+    monkeypatch.setattr("branchlake.sources.lake.LISTED", 10)
+    lake = Lake(spark, fresh(spark, "lake"), file_rows=20)
+    frame, listed, opened, read = Lake._frame, Lake._read_paths, [], []
+
+    def framed(self, table, state, chosen, located=False):
+        opened.append(len(chosen)) if located else None
+        return frame(self, table, state, chosen, located)
+
+    def paths(self, table, some, *args):
+        read.append(some)
+        return listed(self, table, some, *args)
+
+    monkeypatch.setattr(Lake, "_frame", framed)
+    monkeypatch.setattr(Lake, "_read_paths", paths)
+    lake.replace("t", _hashed(spark, range(800), branches=3), "r1", NOW)
+    assert [len(p) for p in read] == [1, 1, 1]
+    entry = (lake._text(f"{lake.root}/t/_log/{1:020d}.json")).splitlines()
+    assert len(entry) > 40 and sum('"schema"' in line for line in entry) == 1
+    files, delta = lake.files("t").collect(), _hashed(spark, [6], "b", 3)
+    assert sum(r["records"] for r in files) == 800
+    told = lake.impact("t", delta, ["id", "branch_id"]).first()
+    none = lake.impact("t", delta.where("false"), ["id", "branch_id"]).first()
+    assert opened == [3, 0]  # one file a branch covers the hash
+    assert (told["files"], told["bytes"]) == (none["files"], none["bytes"]) == (len(files), sum(r["bytes"] for r in files))
+    assert (told["matched"], told["changed"], told["inserts"], told["files_rewritten"]) == (1, 1, 0, 1) and (none["matched"], none["files_rewritten"], none["bytes_rewritten"]) == (0, 0, 0)
+    read.clear()
+    assert lake.read("t").count() == 800 and len(read[0]) == 3
+    lake.merge("t", delta, ["id", "branch_id"], "r2", NOW)
+    read.clear()
+    rows = {r["id"]: r["name"] for r in lake.read("t").collect()}
+    assert rows == {i: "b" if i == 6 else "a" for i in range(800)}
+    # two folders and the merge's, and of branch 0 the files that are left
+    assert len(read[0]) == 3 + sum(r["branch_id"] == 0 for r in files) - 1
+    assert lake.read("t", 1).where("name = 'b'").count() == 0
+
+
 def test_null_branches_match(spark):
     lake = Lake(spark, fresh(spark, "lake"))
     lake.replace("t", _t(spark, [(1, "a", None), (2, "a", 1)]), "r1", NOW)
