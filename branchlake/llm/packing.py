@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import math
 import re
+import string
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,15 +34,22 @@ CACHE = 150_000
 
 #: letters whose lower case and composed form are the same everywhere
 LATIN = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
-PLAIN = re.compile(f"([{LATIN}]+)([.,]?)")
+#: signs that are one word to the tokenizer when they stand together; ' starts words like 's, and < | > those that are added to the vocabulary
+SIGNS = "".join(c for c in string.punctuation if c not in "'<|>")
+PLAIN = re.compile(f"([{LATIN}]*)([{re.escape(SIGNS)}]{{0,8}})")
+
+
+def ids_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class WordIds:
     """Token ids of a text as little-endian 32-bit bytes, from a cache of its chunks between ASCII white space.
 
     The tokenizer drops white space and no token crosses it, so a text's ids are its chunks' ids one after another. A full cache becomes the older one, from which
-    chunks that are seen again come back; so frequent chunks stay, and those seen once, which are most, go. A chunk of Latin letters, a full stop or comma behind it or not, is one word (and one
-    sign) to the tokenizer, whatever its rules for others are; the model behind it is asked for these, at a third of the cost.
+    chunks that are seen again come back; so frequent chunks stay, and those seen once, which are most, go. A chunk of Latin letters with a few signs behind them or none is one word and one run of
+    signs to the tokenizer, which lower-cases, whatever its rules for others are. So the model behind it is asked once for the word in lower case, at a third of the cost, and chunks that differ from it in case or signs share
+    the answer, which is kept as that of a chunk.
     """
 
     def __init__(self, path: str, limit: int = CACHE):
@@ -52,7 +61,7 @@ class WordIds:
         self.tokenizer, self.known, self.older, self.limit = Tokenizer.from_file(path), {}, {}, limit
         spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelling = {ord(c): spelt.pre_tokenize_str(c)[0][0] for c in LATIN.lower()}
-        self.signs = {s: np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes() if s else b"" for s in ("", ".", ",")}
+        self.signs: dict[str, bytes] = {"": b""}
         self.model = self.tokenizer.model
 
     def rest(self) -> None:
@@ -62,7 +71,9 @@ class WordIds:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
+        if len(self.signs) > self.limit:
+            self.signs = {"": b""}
+        known, older, signs = self.known, self.older, self.signs
         split = [t.replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\f", " ").replace("\v", " ").split(" ") for t in texts]
         new = set().union(*split).difference(known)
         again = new.intersection(older)
@@ -70,15 +81,26 @@ class WordIds:
         others = []
         for w in new - again:
             if m := PLAIN.fullmatch(w):
-                known[w] = np.array([t.id for t in self.model.tokenize(m[1].lower().translate(self.spelling))], dtype="<u4").tobytes() + self.signs[m[2]]
+                stem, tail = m[1].lower(), m[2]
+                ids = known.get(stem)
+                if ids is None:
+                    ids = older.get(stem)
+                    known[stem] = ids = self._word(stem) if ids is None else ids
+                if tail and tail not in signs:
+                    signs[tail] = ids_bytes(self.tokenizer.encode(tail, add_special_tokens=False).ids)
+                known[w] = ids + signs[tail]
             else:
                 others.append(w)
         new = others
         for i in range(0, len(new), 10_000):
             part = new[i : i + 10_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join([known[w] for w in words]) + END for words in split]
+                known[w] = ids_bytes(e.ids)
+        get = known.__getitem__
+        return [b"".join(map(get, words)) + END for words in split]
+
+    def _word(self, stem: str) -> bytes:
+        return ids_bytes([t.id for t in self.model.tokenize(stem.translate(self.spelling))]) if stem else b""
 
 
 _ENCODERS: dict[tuple[str, int], WordIds] = {}

@@ -355,6 +355,25 @@ def test_word_cache_gives_the_tokenizer_s_ids_whatever_it_forgets():
         assert len(own.known) <= 5 + 40 and len(own.older) <= 5 + 40
 
 
+def test_chunks_that_differ_in_case_or_signs_share_a_word():
+    """The model is asked once a word, the tokenizer once a run of signs; ids are those of the whole tokenizer for signs of all kinds."""
+    from tokenizers import Tokenizer
+
+    class Counted:
+        def __init__(self, of):
+            self.of, self.asked = of, []
+
+        def tokenize(self, word):
+            self.asked.append(word)
+            return self.of.tokenize(word)
+
+    own, plain = packing.WordIds(WORDS), Tokenizer.from_file(WORDS)
+    own.model = Counted(own.model)
+    texts = ["Word word, WORD. word*** Word!! wORD.### &&& word&&&", " ".join(f"Aé{s} {s} {s}{s}" for s in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"), "a<|endoftext|> <|startoftext|>, x...!!!???---+++ 'tis can't, (239) a-b l'été, \"word\""]
+    assert own(texts) == [np.array([*plain.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes() for t in texts]
+    assert len(own.model.asked) == len(set(own.model.asked)) == 2  # word and aé; the rest goes to the tokenizer
+
+
 def test_plan_against_all_packings():
     rng = np.random.default_rng(4)
     for lengths in ([34, 33, 33] * 3, [60, 40] * 4, [51, 51, 49], [50] * 5, [26] * 8, [45, 35, 20] * 3, *[rng.integers(5, 70, 11).tolist() for _ in range(25)]):
